@@ -1,0 +1,5 @@
+"""No streaming operators: every workload covered here is a batch load.
+
+The two rules that stand in for late-data handling are batch operators:
+``operators.loads.lookback`` and ``operators.latest.latest_per_day``.
+"""
