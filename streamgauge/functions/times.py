@@ -14,10 +14,11 @@ def iso_duration_seconds(text: Column) -> Column:
         return F.coalesce(found, F.lit(0.0)) * seconds
 
     total = (
-        part(r"^P(?:\d+W)?(\d+)D", 86400)
-        + part(r"T(?:[\d.]+[MS])*(\d+)H", 3600)
-        + part(r"T(?:[\d.]+H)?(\d+)M", 60)
-        + part(r"T(?:[\d.]+[HM])*([\d.]+)S", 1)
+        part(r"^P(\d+)W", 604800)
+        + part(r"^P(?:\d+W)?(\d+)D", 86400)
+        + part(r"T(\d+)H", 3600)
+        + part(r"T(?:\d+H)?(\d+)M", 60)
+        + part(r"T(?:\d+[HM])*([\d.]+)S", 1)
     )
     return F.when(text.isNotNull(), total)
 
