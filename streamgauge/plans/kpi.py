@@ -25,11 +25,11 @@ CARDS = {
     "Subscribers": ["net_subscribers"],
     "Comments": ["comments_count"],
     "Views": ["views_count"],
+    "Shares": ["shares_count"],
     "Likes": ["likes_count"],
     "Dislikes": ["dislikes_count"],
-    "Shares": ["shares_count"],
-    "Watch minutes": ["estimated_watch_minutes"],
-    "Minutes per view": ["estimated_watch_minutes", "views_count"],
+    "Watch Time (min)": ["estimated_watch_minutes"],
+    "Avg. View Duration (min)": ["estimated_watch_minutes", "views_count"],
 }
 
 

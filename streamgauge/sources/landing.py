@@ -65,7 +65,8 @@ def minute_feed(reports: DataFrame) -> DataFrame:
     entries = F.array_sort(
         F.collect_list(
             F.struct(F.col("livestreamPosition").cast("int").alias("_at"), "livestreamPosition", "record")
-        )
+        ),
+        lambda a, b: a["_at"] - b["_at"],
     )
     keyed = F.map_from_entries(
         F.transform("_entries", lambda e: F.struct(e["livestreamPosition"], e["record"]))
