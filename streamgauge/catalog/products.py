@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamgauge.catalog.registry import Input, query
@@ -248,17 +248,25 @@ def m36(i):
 
 
 def minute_reports(i: Input) -> DataFrame:
-    """Per-video minute reports in the columnar form of the API, in load order."""
+    """Per-video minute reports in the columnar form of the API, in load order.
+
+    Each position brings its newest two loads, so a report stays as short as a
+    video is long and still has rows that a later one replaces.
+    """
     names = ["livestreamPosition", "averageConcurrentViewers", "peakConcurrentViewers"]
     row = F.array(
         F.col("livestream_position").cast("string"),
         F.col("average_concurrent_viewers").cast("string"),
         F.col("peak_concurrent_viewers").cast("string"),
     )
+    loads = Window.partitionBy("video_id", "livestream_position").orderBy(F.desc("load_ts"), F.desc("tie"))
+    kept = i.v("minute_viewers").withColumn("rank", F.row_number().over(loads)).filter("rank <= 2")
     ordered = F.array_sort(F.collect_list(F.struct("load_ts", "tie", row.alias("row"))))
-    return i.v("minute_viewers").groupBy(F.col("video_id").cast("string").alias("video_id")).agg(
-        F.transform(ordered, lambda r: r["row"]).alias("rows")
-    ).withColumn("columnHeaders", F.array(*[F.struct(F.lit(n).alias("name")) for n in names]))
+    return (
+        kept.groupBy(F.col("video_id").cast("string").alias("video_id"))
+        .agg(F.transform(ordered, lambda r: r["row"]).alias("rows"))
+        .withColumn("columnHeaders", F.array(*[F.struct(F.lit(n).alias("name")) for n in names]))
+    )
 
 
 def watch_reports(i: Input) -> DataFrame:
@@ -502,11 +510,11 @@ def m14(i):
 
 @query("m15_retention_streak", "with " + STREAKS + " select * from streaks", "minute_viewers")
 def m15(i):
-    return retention.retention_streak(moves(i))
+    return retention.movement_streaks(current(i))
 
 
 def segments(i: Input) -> DataFrame:
-    return retention.retention_segments(retention.retention_streak(moves(i)), min_rows=40)
+    return retention.retention_segments(retention.movement_streaks(current(i)), min_rows=40)
 
 
 @query("m16_retention_segments", "with " + SEGMENTS + " select * from quadrants", "minute_viewers")

@@ -13,7 +13,7 @@ holds at most ``span`` rows of a whole-numbered order column.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,34 +74,73 @@ def change(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str,
     return before.withColumn(out, F.col(value) - F.col("_before")).drop("_before")
 
 
-def run_length(df: DataFrame, keys: Sequence[str], order: str, hit: Column, out: str, span: float = SPAN) -> DataFrame:
-    """Length of the unbroken run of ``hit`` rows that ends on each row; 0 on a miss."""
-    chunked = with_chunk(df.withColumn("_hit", F.coalesce(hit, F.lit(False))), order, span)
+def run_length(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    hit: Column | Callable[[Column], Column],
+    out: str,
+    value: str | None = None,
+    before: str = "_before",
+    span: float = SPAN,
+) -> DataFrame:
+    """Length of the unbroken run of ``hit`` rows that ends on each row; 0 on a miss.
+
+    With ``value``, ``hit`` is a function of the previous row's value, which is
+    kept as ``before``: both come from the same pass.
+    """
+    chunked = with_chunk(df, order, span)
+    inside, across = _inside(keys, order), _across(keys)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    first = F.col("_at") == 1
 
-    def local_runs(rows: DataFrame) -> DataFrame:
-        misses = F.count_if(~F.col("_hit")).over(_inside(keys, order))
-        island = Window.partitionBy(*keys, CHUNK, "_misses").orderBy(order)
-        return rows.withColumn("_misses", misses).withColumn(
-            "_run", F.count_if("_hit").over(island)
-        )
+    def is_hit(previous: Column) -> Column:
+        return F.coalesce(hit if value is None else hit(previous), F.lit(False))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        at = rows.withColumn("_at", F.row_number().over(inside))
+        return at if value is None else at.withColumn("_near", F.lag(value).over(inside))
+
+    def runs(rows: DataFrame, condition: Column) -> DataFrame:
+        missed = F.max(F.when(~condition, F.col("_at"))).over(upto)
+        return rows.withColumn("_missed", missed).withColumn("_run", F.col("_at") - F.coalesce("_missed", F.lit(0)))
 
-    # The run that reaches the end of a chunk, and whether it began inside it.
+    # Per chunk: the run that reaches its end, and whether a miss precedes it.
+    # When conditions look back, the first row is judged once the previous
+    # chunk's last value is known, and counts as a hit until then.
+    near = is_hit(F.col("_near")) if value else is_hit(F.lit(None))
     ends = (
-        local_runs(chunked.select(*keys, order, CHUNK, "_hit"))
+        runs(placed(chunked), first | near if value else near)
         .groupBy(*keys, CHUNK)
-        .agg(F.max_by("_run", order).alias("_tail"), (F.max("_misses") > 0).alias("_broken"))
+        .agg(
+            F.max_by("_run", order).alias("_tail"),
+            F.max("_missed").isNotNull().alias("_broken"),
+            *([F.min_by(value, order).alias(value), F.max_by(value, order).alias("_last")] if value else []),
+        )
     )
-    breaks = F.count_if("_broken").over(_across(keys))
+    if value:
+        ends = ends.withColumn("_seen", F.lag("_last").over(across))
+        opens = is_hit(F.col("_seen"))
+        ends = ends.withColumn("_tail", F.col("_tail") - (~F.col("_broken") & ~opens).cast("int"))
+        ends = ends.withColumn("_broken", F.col("_broken") | ~opens)
     since_break = Window.partitionBy(*keys, "_breaks").orderBy(CHUNK)
     carried = (
-        ends.withColumn("_breaks", breaks)
+        ends.withColumn("_breaks", F.count_if("_broken").over(across))
         .withColumn("_open", F.sum("_tail").over(since_break))
-        .select(*keys, CHUNK, F.lag("_open").over(_across(keys)).alias("_carry"))
-        .filter(F.col("_carry") > 0)
+        .select(
+            *keys,
+            CHUNK,
+            F.lag("_open").over(across).alias("_carry"),
+            *([F.col("_seen")] if value else []),
+        )
+        .filter(F.col("_carry").isNotNull())
     )
-    joined = local_runs(chunked.join(carried, [*keys, CHUNK], "left"))
-    run = F.col("_run") + F.when(F.col("_misses") == 0, F.coalesce("_carry", F.lit(0))).otherwise(0)
-    return joined.withColumn(out, run.cast("long")).drop("_hit", "_misses", "_run", "_carry", CHUNK)
+    rows = placed(chunked.join(carried, [*keys, CHUNK], "left"))
+    if value:
+        rows = rows.withColumn(before, F.when(first, F.col("_seen")).otherwise(F.col("_near")))
+    rows = runs(rows, is_hit(F.col(before)) if value else is_hit(F.lit(None)))
+    run = F.col("_run") + F.when(F.col("_missed").isNull(), F.coalesce("_carry", F.lit(0))).otherwise(0)
+    return rows.withColumn(out, run.cast("long")).drop("_at", "_near", "_seen", "_missed", "_run", "_carry", CHUNK)
 
 
 def trailing_values(df: DataFrame, keys: Sequence[str], order: str, value: str, n: int, out: str, span: float = 60 * 1024) -> DataFrame:
@@ -137,17 +176,25 @@ def trailing_values(df: DataFrame, keys: Sequence[str], order: str, value: str,
     )
 
 
-def attach_group(df: DataFrame, keys: Sequence[str], order: str, aggregates: Mapping[str, tuple[str, str]], span: float = SPAN) -> DataFrame:
+def attach_group(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    aggregates: Mapping[str, tuple[str, str]],
+    source: DataFrame | None = None,
+    span: float = SPAN,
+) -> DataFrame:
     """Put whole-series ``max``/``min``/``sum``/``count`` values on every row.
 
     ``aggregates`` maps an output name to ``(function, column)``. Values are
     combined per chunk before the shuffle and joined back per chunk, so a long
-    series is neither gathered nor joined in one place.
+    series is neither gathered nor joined in one place. ``source`` may name a
+    cheaper table with the same keys and order values to aggregate instead.
     """
     merge = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.sum}
     partial = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
     chunked = with_chunk(df, order, span)
-    parts = chunked.groupBy(*keys, CHUNK).agg(
+    parts = (chunked if source is None else with_chunk(source, order, span)).groupBy(*keys, CHUNK).agg(
         *[partial[fn](col).alias(name) for name, (fn, col) in aggregates.items()]
     )
     series = Window.partitionBy(*keys)

@@ -6,7 +6,9 @@ and arrays per video are small from there on.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from multiprocessing.pool import ThreadPool
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
@@ -32,7 +34,8 @@ def percent_resample(minutes: DataFrame) -> DataFrame:
         F.count(number["average_concurrent_viewers"]).alias("_n"),
         F.max(number["peak_concurrent_viewers"]).alias("_peak"),
     )
-    placed = attach_group(folded, ["video_id"], "livestream_position", {"_longest": ("max", "livestream_position")})
+    longest = {"_longest": ("max", "livestream_position")}
+    placed = attach_group(folded, ["video_id"], "livestream_position", longest, source=minutes)
     percent = percent_bucket(F.col("livestream_position"), F.col("_longest"))
     return (
         placed.withColumn("pct", percent)
@@ -148,19 +151,26 @@ def name_clusters(centers) -> dict[int, str]:
     return named
 
 
-def cluster_curves(norm: DataFrame, k: int = 4, restarts: int = 20, seed: int = 42, max_iter: int = 20) -> DataFrame:
+def cluster_curves(
+    norm: DataFrame, k: int = 4, restarts: int = 20, seed: int = 42, max_iter: int = 20, parallelism: int = 8
+) -> DataFrame:
     """k-means over whole curves; the best of ``restarts`` seeds names each video's cluster.
 
-    Fitting runs distributed jobs at once; only the k centres reach the driver.
+    Fitting runs distributed jobs at once, ``parallelism`` seeds at a time;
+    only the k centres of each seed reach the driver.
     """
     vectors = curve_vectors(norm).withColumn("features", array_to_vector("curve"))
     vectors = vectors.select("video_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    vectors.count()
+
+    @inheritable_thread_target(norm.sparkSession)
+    def fit(start: int):
+        return KMeans(k=k, seed=start, maxIter=max_iter, predictionCol="cluster_id").fit(vectors)
+
     try:
-        best = None
-        for i in range(restarts):
-            model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features", predictionCol="cluster_id").fit(vectors)
-            if best is None or model.summary.trainingCost < best.summary.trainingCost:
-                best = model
+        with ThreadPool(min(parallelism, restarts)) as pool:
+            models = pool.map(fit, range(seed, seed + restarts))
+        best = min(models, key=lambda m: m.summary.trainingCost)
     finally:
         vectors.unpersist()
     names = name_clusters(best.clusterCenters())

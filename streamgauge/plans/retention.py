@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamgauge.operators.joins import spread_join
@@ -57,16 +57,19 @@ def shift_segment(shift):
     )
 
 
-def view_movement(minutes: DataFrame) -> DataFrame:
-    """spike, drop or retain per minute from the change of average viewers."""
-    viewers, diff = F.col(VIEWERS), F.col("diff")
-    label = (
+def movement_label(viewers: Column, diff: Column) -> Column:
+    return (
         F.when((viewers > 1) & (diff > 0), "spike")
         .when((viewers > 0) & (diff < 0), "drop")
         .when((viewers > 1) & (diff == 0), "retain")
         .otherwise(NO_LABEL)
     )
-    return change(minutes, VIDEO, POSITION, VIEWERS, "diff").withColumn("view_movement", label)
+
+
+def view_movement(minutes: DataFrame) -> DataFrame:
+    """spike, drop or retain per minute from the change of average viewers."""
+    moved = change(minutes, VIDEO, POSITION, VIEWERS, "diff")
+    return moved.withColumn("view_movement", movement_label(F.col(VIEWERS), F.col("diff")))
 
 
 def drop_constant_series(minutes: DataFrame) -> DataFrame:
@@ -101,6 +104,21 @@ def retention_streak(moves: DataFrame) -> DataFrame:
     return run_length(kept, VIDEO, POSITION, F.col("view_movement") != NO_LABEL, "scenario_1_run")
 
 
+def movement_streaks(minutes: DataFrame) -> DataFrame:
+    """``retention_streak(view_movement(minutes))`` with one carry pass for both."""
+    viewers = F.col(VIEWERS)
+
+    def kept(before: Column) -> Column:
+        return movement_label(viewers, viewers - before).isin("spike", "retain")
+
+    runs = run_length(minutes, VIDEO, POSITION, kept, "scenario_1_run", value=VIEWERS)
+    diff = viewers - F.col("_before")
+    label = movement_label(viewers, diff)
+    return runs.withColumns(
+        {"diff": diff, "view_movement": F.when(label == "drop", NO_LABEL).otherwise(label)}
+    ).drop("_before")
+
+
 def retention_segments(streaks: DataFrame, min_rows: int = 60) -> DataFrame:
     """Longest streak, minutes and mean viewers per video, placed against the medians.
 

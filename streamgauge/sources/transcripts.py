@@ -51,9 +51,15 @@ def write_partitioned(segments: DataFrame, folder: str, hours_per_file: int = 24
 
 
 def listed_ids(spark: SparkSession, folder: str) -> DataFrame:
-    """Ids of the ``<video_id>.txt`` files of a folder; contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
-    return files.select(file_stem(F.col("path")).alias("video_id")).distinct()
+    """Ids of the transcripts in a folder of either layout; contents are not read."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.txt")
+        .option("recursiveFileLookup", True)
+        .load(folder)
+    )
+    parent = F.nullif(F.regexp_extract("path", r"/video_id=([^/]+)/[^/]+$", 1), F.lit(""))
+    return files.select(F.coalesce(parent, file_stem(F.col("path"))).alias("video_id")).distinct()
 
 
 def missing_transcripts(videos: DataFrame, file_ids: DataFrame) -> DataFrame:
