@@ -31,6 +31,13 @@ def rows_of(arrow):
     return names, sorted(tuple(plain(v) for v in row) for row in zip(*columns))
 
 
+def kinds_differ(spark_arrow, duck_arrow) -> dict:
+    """Columns whose types differ between the engines though their values may not."""
+    a = {f.name: str(f.type).replace("large_", "") for f in spark_arrow.schema}
+    b = {f.name: str(f.type).replace("large_", "") for f in duck_arrow.schema}
+    return {n: (a[n], b[n]) for n in a if n in b and a[n] != b[n]}
+
+
 def compare(spark_arrow, duck_arrow) -> str | None:
     names, got = rows_of(spark_arrow)
     wanted_names, wanted = rows_of(duck_arrow)
@@ -72,6 +79,8 @@ def main() -> int:
                 wanted = con.sql(oracles[key]).arrow()
                 wanted = wanted.read_all() if hasattr(wanted, "read_all") else wanted
                 problem = compare(got, wanted)
+                if not problem and kinds_differ(got, wanted):
+                    print("     types", key, kinds_differ(got, wanted))
             else:
                 problem = None if got.num_rows else "no rows"
             state = "rows" if key not in oracles else "ok"
