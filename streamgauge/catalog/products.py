@@ -676,9 +676,9 @@ WEEKS = """
     ), compared as (
       select * from points union all
       select cast(week_commencing_dt as date), platform, 'COMPARISON - PREDICTED',
-             round_even(aw * (cast(week_commencing_dt as date) - date '1970-01-01') + bw, 0),
-             round_even(av * (cast(week_commencing_dt as date) - date '1970-01-01') + bv, 0),
-             round_even(as_ * (cast(week_commencing_dt as date) - date '1970-01-01') + bs, 0)
+             round_even(round(aw * (cast(week_commencing_dt as date) - date '1970-01-01') + bw, 6), 0),
+             round_even(round(av * (cast(week_commencing_dt as date) - date '1970-01-01') + bv, 6), 0),
+             round_even(round(as_ * (cast(week_commencing_dt as date) - date '1970-01-01') + bs, 6), 0)
       from lines
     )"""
 
@@ -715,7 +715,7 @@ def m20(i):
       select platform, 'Minutes per view', week, coalesce(ra / nullif(rp, 0) - 1, 0) from ends
     )
     select totals.platform, totals.card, total,
-           concat('WC ', strftime(week, '%d %b %Y'), ': ', cast(cast(round_even(dev * 100, 0) as bigint) as varchar),
+           concat('WC ', strftime(week, '%d %b %Y'), ': ', cast(cast(round_even(round(dev * 100, 6), 0) as bigint) as varchar),
                   '% vs forecast') as deviation
     from totals join texts on totals.platform = texts.platform and totals.card = texts.card""",
     "channel_daily",
@@ -737,7 +737,7 @@ def m21(i):
              estimated_watch_minutes / cast(nullif(views_count, 0) as double) as r from months
     ), kept as (select *, max(rn) over (partition by platform) as oldest from ranked where rn between 2 and 13)
     select month_start_dt, platform, estimated_watch_minutes, views_count, round(r, 6) as derived_metric,
-           case when rn = 2 or rn = oldest then round_even(r, 0) end as end_label from kept""",
+           case when rn = 2 or rn = oldest then round_even(round(r, 6), 0) end as end_label from kept""",
     "channel_daily",
 )
 def m22(i):

@@ -16,6 +16,11 @@ def relative_change(predicted: Column, actual: Column) -> Column:
     return F.coalesce(F.try_divide(actual, predicted) - 1, F.lit(0.0))
 
 
+def whole(x: Column) -> Column:
+    """Whole number, ties to even; noise of float arithmetic does not decide a tie."""
+    return F.bround(F.round(x, 6), 0)
+
+
 def grouped_int(x: Column) -> Column:
     """Whole number with thousands separators, fraction cut off."""
     return F.format_number(x.cast("long"), 0)
@@ -27,7 +32,7 @@ def grouped_2dp(x: Column) -> Column:
 
 def percent_text(share: Column) -> Column:
     """Share as whole percent, ties to even."""
-    return F.concat(F.bround(share * 100, 0).cast("long").cast("string"), F.lit("%"))
+    return F.concat(whole(share * 100).cast("long").cast("string"), F.lit("%"))
 
 
 def truncated_percent_text(share: Column) -> Column:

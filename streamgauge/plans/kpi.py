@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamgauge.functions.numbers import grouped_2dp, grouped_int, percent_text, ratio, relative_change
+from streamgauge.functions.numbers import grouped_2dp, grouped_int, percent_text, ratio, relative_change, whole
 from streamgauge.functions.times import month_start, week_start
 from streamgauge.operators.latest import newest_n
 
@@ -83,7 +83,7 @@ def weekly_deviation(daily: DataFrame, metrics: Sequence[str] | str, n: int = 12
     metrics = [metrics] if isinstance(metrics, str) else list(metrics)
     points = recent_weeks(week_rollup(daily, metrics), ["platform"], n)
     predicted = line_forecast(points, ["platform"], metrics)
-    predicted = predicted.withColumns({m: F.bround(m, 0) for m in metrics})
+    predicted = predicted.withColumns({m: whole(F.col(m)) for m in metrics})
     rows = points.withColumns({m: F.col(m).cast("double") for m in metrics}).unionByName(predicted)
     if len(metrics) == 2:
         rows = rows.withColumn("derived_metric", ratio(F.col(metrics[0]), F.col(metrics[1])))
@@ -112,7 +112,7 @@ def kpi_cards(daily: DataFrame, cards: Mapping[str, Sequence[str]] = CARDS, n: i
 
     points = recent_weeks(long, keys, n)
     predicted = line_forecast(points, keys, ["top", "bottom"])
-    predicted = predicted.withColumns({m: F.bround(m, 0) for m in ("top", "bottom")})
+    predicted = predicted.withColumns({m: whole(F.col(m)) for m in ("top", "bottom")})
     last = (
         points.filter(F.col("point_type") == COMPARED)
         .unionByName(predicted)
@@ -149,7 +149,7 @@ def monthly_trend(daily: DataFrame, metrics: Sequence[str] | str, n: int = 12) -
         months = months.withColumn("derived_metric", ratio(F.col(metrics[0]), F.col(metrics[1])))
         shown = "derived_metric"
     oldest = F.max("rank").over(Window.partitionBy("platform"))
-    label = F.when((F.col("rank") == 2) | (F.col("rank") == oldest), F.bround(F.col(shown).cast("double"), 0))
+    label = F.when((F.col("rank") == 2) | (F.col("rank") == oldest), whole(F.col(shown).cast("double")))
     return months.withColumn("end_label", label).drop("rank")
 
 
