@@ -46,7 +46,10 @@ def segment_lines(segments: DataFrame) -> DataFrame:
 def write_partitioned(segments: DataFrame, folder: str, hours_per_file: int = 24) -> None:
     """Write one folder per video, cut into files by time so that no task holds a whole video."""
     part = F.floor(F.col("start_time") / (3600 * hours_per_file))
-    placed = segments.repartition("video_id", part).sortWithinPartitions("video_id", "start_time", "end_time")
+    # A fixed number: opening many files is the cost here, so small data must not be merged into one task.
+    tasks = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = segments.repartition(tasks, "video_id", part)
+    placed = placed.sortWithinPartitions("video_id", "start_time", "end_time")
     segment_lines(placed).write.partitionBy("video_id").text(folder)
 
 
