@@ -786,7 +786,7 @@ def w8(i):
 )
 def w9(i):
     rows = i.v("minute_viewers").select("video_id", "livestream_position", "tie")
-    return attach_group(rows, ["video_id"], "livestream_position", {"longest": ("max", "livestream_position")}).drop(
+    return attach_group(rows, ["video_id"], "livestream_position", {"longest": ("max", "livestream_position")}, salts=16).drop(
         "livestream_position"
     )
 
@@ -1221,7 +1221,9 @@ def f28(i):
 )
 def f29(i):
     rows = i.v("minute_viewers").select("video_id", "livestream_position", "tie")
-    longest = attach_group(rows, ["video_id"], "livestream_position", {"longest": ("max", "livestream_position")})
+    longest = attach_group(
+        rows, ["video_id"], "livestream_position", {"longest": ("max", "livestream_position")}, salts=16
+    )
     pct = numbers.percent_bucket(F.col("livestream_position"), F.col("longest"))
     return longest.select("video_id", "tie", pct.alias("pct"))
 

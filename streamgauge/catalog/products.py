@@ -605,7 +605,7 @@ def m8(i):
     "embedded_minutes",
 )
 def m10(i):
-    return semantic.sd_bands(shifted(i)).select("video_id", "livestream_position", "semantic_shift_5m_seg")
+    return semantic.shift_bands(shifted(i)).select("video_id", "livestream_position", "semantic_shift_5m_seg")
 
 
 # The report needs viewers and vectors of the same minutes.
@@ -967,9 +967,9 @@ def m32(i):
     return curves.cluster_curves(normed(i))
 
 
-def by_id(rows: DataFrame) -> DataFrame:
+def by_id(i: Input) -> DataFrame:
     """A stand-in for fitted clusters that SQL can repeat."""
-    return rows.select("video_id", (F.col("video_id") % 4).cast("string").alias("cluster")).distinct()
+    return i.v("dim_video").select("video_id", (F.col("video_id") % 4).cast("string").alias("cluster"))
 
 
 @query(
@@ -981,8 +981,7 @@ def by_id(rows: DataFrame) -> DataFrame:
     "dim_video",
 )
 def m33(i):
-    rows = normed(i)
-    return rounded(curves.cluster_medians(rows, by_id(rows)), 6, "average_viewers")
+    return rounded(curves.cluster_medians(normed(i), by_id(i)), 6, "average_viewers")
 
 
 @query(
@@ -994,6 +993,5 @@ def m33(i):
     "dim_video",
 )
 def m34(i):
-    rows = normed(i)
-    members = curves.cluster_members(rows, by_id(rows), "3")
+    members = curves.cluster_members(normed(i), by_id(i), "3")
     return rounded(members, 6, "average_concurrent_viewers").drop("avg_viewers", "norm")

@@ -18,6 +18,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from streamgauge.operators.joins import spread_join
+
 CHUNK = "_chunk"
 SPAN = 60 * 4096  # seconds; 4096 minute rows
 
@@ -183,6 +185,7 @@ def attach_group(
     aggregates: Mapping[str, tuple[str, str]],
     source: DataFrame | None = None,
     span: float = SPAN,
+    salts: int = 1,
 ) -> DataFrame:
     """Put whole-series ``max``/``min``/``sum``/``count`` values on every row.
 
@@ -190,6 +193,8 @@ def attach_group(
     combined per chunk before the shuffle and joined back per chunk, so a long
     series is neither gathered nor joined in one place. ``source`` may name a
     cheaper table with the same keys and order values to aggregate instead.
+    Where order values repeat, so that a chunk has no size limit, ``salts``
+    above 1 divides each chunk for the join.
     """
     merge = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.sum}
     partial = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
@@ -201,4 +206,6 @@ def attach_group(
     totals = parts.select(
         *keys, CHUNK, *[merge[fn](name).over(series).alias(name) for name, (fn, _) in aggregates.items()]
     )
+    if salts > 1:
+        return spread_join(chunked, totals, [*keys, CHUNK], "left", salts=salts).drop(CHUNK)
     return chunked.join(totals, [*keys, CHUNK], "left").drop(CHUNK)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from streamgauge.functions.text import blank_if_null
 from streamgauge.functions.vectors import cosine, text_if_covered, unless_blank, vector_sum
 from streamgauge.operators.series import trailing_values
+from streamgauge.session import materialize
 from streamgauge.plans.retention import NO_LABEL, POSITION, VIDEO, viewer_shift_label
 
 # Non-blank minutes a context of N minutes needs.
@@ -96,6 +97,15 @@ def sd_bands(df: DataFrame, col: str = "semantic_shift_5m", out: str | None = No
     return df.withColumn("_s", stats).withColumn(out or f"{col}_seg", label).drop("_s")
 
 
+def shift_bands(scored: DataFrame, col: str = "semantic_shift_5m") -> DataFrame:
+    """``sd_bands`` over scores that are stored first.
+
+    The statistics and the labels both read every score, and the vector
+    arithmetic behind a score costs far more than writing and reading it.
+    """
+    return sd_bands(materialize(scored, "scores"), col)
+
+
 def minute_text(minutes: DataFrame, coverage: DataFrame) -> DataFrame:
     """Minute viewers with the transcript bucket that starts at their position."""
     text = coverage.withColumnRenamed("minute_boundaries_lb", POSITION).drop("minute_boundaries_ub", "minute_boundaries")
@@ -113,10 +123,9 @@ def minute_content_report(
     ``minutes`` are the current minute viewers, ``coverage`` the transcript
     minutes. When ``coverage`` already brings an ``embedding`` it is used.
     """
-    joined = minute_text(minutes, coverage)
+    joined = minute_text(viewer_shift_label(minutes), coverage)
     if "text" in joined.columns:
         joined = joined.withColumn("text", blank_if_null(F.col("text")))
     if "embedding" not in joined.columns:
         joined = embed(joined)
-    scored = semantic_shift(joined, windows)
-    return sd_bands(viewer_shift_label(scored), f"semantic_shift_{windows[0]}m")
+    return shift_bands(semantic_shift(joined, windows), f"semantic_shift_{windows[0]}m")
