@@ -87,7 +87,7 @@ def s5(i):
 @query(
     "s6_api_scalar_row",
     """select cast(video_id as varchar) as video_id, cast(sum(like_count) as double) as "estimatedMinutesWatched"
-       from stage_video where video_id % 2 = 0 group by video_id""",
+       from stage_video group by video_id having max(record_source) = 'src3'""",
     "stage_video",
 )
 def s6(i):
@@ -150,8 +150,8 @@ def s12(i):
     root, s = scratch_path(i.spark, "warehouse"), i.v("segments")
     table = "sc_yt_video_transcript"
     tables.load_stage(s, root, table, "append")
-    tables.load_stage(s.filter("video_id % 2 = 0"), root, table, "truncate")
-    tables.load_stage(s.filter("video_id % 2 = 1"), root, table, "append")
+    tables.load_stage(s.filter("start_time < 100"), root, table, "truncate")
+    tables.load_stage(s.filter("start_time >= 100"), root, table, "append")
     return tables.read_stage(i.spark, root, table)
 
 
@@ -333,7 +333,7 @@ def p14(i):
     "j1_left_combine",
     """with v as (select distinct video_id from stage_video),
        m as (select video_id, count(*) as n_minutes from minute_viewers group by video_id),
-       w as (select video_id, sum(like_count) as watched from stage_video where video_id % 3 = 0 group by video_id)
+       w as (select video_id, sum(like_count) as watched from stage_video where record_source = 'src1' group by video_id)
        select v.video_id, m.n_minutes, cast(w.watched as bigint) as watched
        from v left join m on v.video_id = m.video_id left join w on v.video_id = w.video_id""",
     "stage_video",
@@ -342,7 +342,7 @@ def p14(i):
 def j1(i):
     v = i.v("stage_video").select("video_id").distinct()
     m = i.v("minute_viewers").groupBy("video_id").agg(F.count("*").alias("n_minutes"))
-    w = i.v("stage_video").filter("video_id % 3 = 0").groupBy("video_id").agg(F.sum("like_count").alias("watched"))
+    w = i.v("stage_video").filter("record_source = 'src1'").groupBy("video_id").agg(F.sum("like_count").alias("watched"))
     return v.join(m, "video_id", "left").join(w, "video_id", "left")
 
 

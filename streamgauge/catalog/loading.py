@@ -59,14 +59,14 @@ def l3(i):
 
 @query(
     "l3_new_transcript_videos",
-    "with chosen as (select * from segments where video_id % 3 <> 0), "
+    "with chosen as (select * from segments where video_id not in (select video_id from segments where end_time > 250)), "
     + P.PIECES.format(src="chosen")
     + " select * from buckets",
     "segments",
 )
 def l3_transcripts(i):
     segments = i.v("segments")
-    loaded = transcript.transcript_minutes(segments.filter("video_id % 3 = 0"))
+    loaded = transcript.transcript_minutes(segments.filter("end_time > 250"))
     return P.rounded(transcript.transcript_minutes(segments, target=loaded), 6, "duration_secs_valid")
 
 

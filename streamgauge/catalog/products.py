@@ -9,7 +9,7 @@ from streamgauge.catalog.registry import Input, query
 from streamgauge.operators.latest import latest_per
 from streamgauge.plans import curves, engagement, forecast, kpi, retention, semantic, transcript, vault
 from streamgauge.sources import landing, transcripts
-from streamgauge.session import scratch_path
+from streamgauge.session import materialize, scratch_path
 
 UNTIL = "2002-06-30"
 
@@ -226,7 +226,7 @@ def m38_minutes(i):
     """with v as (select distinct video_id from stage_video),
        m as (select video_id, count(distinct livestream_position) as n_minutes from minute_viewers group by video_id),
        w as (select video_id, cast(sum(like_count) as double) as watched from stage_video
-             where video_id % 2 = 0 group by video_id)
+             group by video_id having max(record_source) = 'src3')
        select v.video_id, v.video_id as json_id, coalesce(m.n_minutes, 0) as n_minutes,
               w.watched as estimated_minutes_watched
        from v left join m on v.video_id = m.video_id left join w on v.video_id = w.video_id""",
@@ -270,10 +270,12 @@ def minute_reports(i: Input) -> DataFrame:
 
 
 def watch_reports(i: Input) -> DataFrame:
-    """Watch-time reports; videos with an odd id have an empty one."""
-    total = i.v("stage_video").groupBy("video_id").agg(F.sum("like_count").alias("n"))
+    """Watch-time reports; videos without a load of the last source have an empty one."""
+    total = i.v("stage_video").groupBy("video_id").agg(
+        F.sum("like_count").alias("n"), F.max("record_source").alias("last")
+    )
     row = F.array(F.col("video_id").cast("string"), F.col("n").cast("string"))
-    rows = F.when(F.col("video_id") % 2 == 0, F.array(row)).otherwise(F.array().cast("array<array<string>>"))
+    rows = F.when(F.col("last") == "src3", F.array(row)).otherwise(F.array().cast("array<array<string>>"))
     return total.select(rows.alias("rows"))
 
 
@@ -485,13 +487,17 @@ def m12(i):
 
 @query(
     "m13_constant_series_out",
-    "with " + CURRENT + """, early as (select * from cur where livestream_position < 180)
-    select * from early where video_id not in (
-      select video_id from early group by video_id having count(distinct average_concurrent_viewers) = 1)""",
+    "with " + CURRENT + """, coarse as (
+      select video_id, livestream_position, floor(average_concurrent_viewers / 8) as average_concurrent_viewers from cur)
+    select * from coarse where video_id not in (
+      select video_id from coarse group by video_id having count(distinct average_concurrent_viewers) = 1)""",
     "minute_viewers",
 )
 def m13(i):
-    return retention.drop_constant_series(current(i).filter(F.col("livestream_position") < 180))
+    # In steps of eight viewers, as no video is constant at full detail.
+    steps = F.floor(F.col("average_concurrent_viewers") / 8).cast("double")
+    coarse = current(i).withColumn("average_concurrent_viewers", steps).drop("peak_concurrent_viewers")
+    return retention.drop_constant_series(coarse)
 
 
 @query(
@@ -981,7 +987,9 @@ def by_id(i: Input) -> DataFrame:
     "dim_video",
 )
 def m33(i):
-    return rounded(curves.cluster_medians(normed(i), by_id(i)), 6, "average_viewers")
+    # Sketch and counts both read the curves, so they are stored first.
+    stored = materialize(normed(i), "curves")
+    return rounded(curves.cluster_medians(stored, by_id(i)), 6, "average_viewers")
 
 
 @query(

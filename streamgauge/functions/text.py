@@ -6,6 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Title prefixes that say where the talk's name stands, as
+# (prefix, separator, piece); any other title uses the default.
+TITLE_RULES = [("SESSION", "|", 2), ("Series", "|", 2), ("[Luton", "-", 1)]
+TITLE_DEFAULT = ("|", 1)
+
+# Fixed value: the watch page of a video.
+WATCH_URL = "https://www.youtube.com/watch?v=%s"
+
+
 def starts_with_ci(text: Column, prefix: str) -> Column:
     """Case-insensitive prefix test; only ``%`` and ``_`` would be special in ``prefix``."""
     return text.ilike(prefix + "%")
@@ -17,20 +26,11 @@ def trimmed_piece(text: Column, separator: str, n: int) -> Column:
 
 
 def clean_title(raw: Column) -> Column:
-    """Talk name inside a raw video title.
-
-    Session and series titles carry the name after the first bar, titles of
-    the bracketed branch channel before the first dash, all others before the
-    first bar.
-    """
-    return (
-        F.when(
-            starts_with_ci(raw, "SESSION") | starts_with_ci(raw, "Series"),
-            trimmed_piece(raw, "|", 2),
-        )
-        .when(starts_with_ci(raw, "[Luton"), trimmed_piece(raw, "-", 1))
-        .otherwise(trimmed_piece(raw, "|", 1))
-    )
+    """Talk name inside a raw video title; the first matching rule decides."""
+    title = trimmed_piece(raw, *TITLE_DEFAULT)
+    for prefix, separator, n in reversed(TITLE_RULES):
+        title = F.when(starts_with_ci(raw, prefix), trimmed_piece(raw, separator, n)).otherwise(title)
+    return title
 
 
 def blank_if_null(text: Column) -> Column:
@@ -38,7 +38,7 @@ def blank_if_null(text: Column) -> Column:
 
 
 def watch_url(video_id: Column) -> Column:
-    return F.format_string("https://www.youtube.com/watch?v=%s", video_id.cast("string"))
+    return F.format_string(WATCH_URL, video_id.cast("string"))
 
 
 def bucket_label(lower: Column, upper: Column) -> Column:

@@ -29,8 +29,10 @@ def spread_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported kind of join: {how}")
+    if salts & (salts - 1):
+        raise ValueError("salts must be a power of two")
     by = list(spread_by or [c for c in big.columns if c not in keys])
-    salted = big.withColumn(_SALT, F.pmod(F.xxhash64(*by), F.lit(salts)))
+    salted = big.withColumn(_SALT, F.xxhash64(*by).bitwiseAND(F.lit(salts - 1)))
     parts = F.explode(F.array(*[F.lit(i).cast("long") for i in range(salts)]))
     repeated = small.withColumn(_SALT, parts)
     return salted.join(repeated, [*keys, _SALT], how).drop(_SALT)

@@ -19,6 +19,7 @@ from streamgauge.operators.medians import exact_median
 from streamgauge.operators.series import attach_group
 
 PERCENTS = list(range(101))
+# Names of the four curve clusters.
 CLUSTER_NAMES = ["Mid-Peak Drop", "Mid-Peak Stable", "Irregular", "Early-Rise Stable"]
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from streamgauge.functions.numbers import ratio
 
+# The video types that count as live.
 LIVE_TYPES = ("Livestream", "Luton Livestream")
 
 

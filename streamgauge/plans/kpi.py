@@ -16,11 +16,12 @@ from streamgauge.functions.numbers import grouped_2dp, grouped_int, percent_text
 from streamgauge.functions.times import month_start, week_start
 from streamgauge.operators.latest import newest_n
 
+# Kinds of points in a weekly comparison.
 ACTUAL = "ACTUAL"
 COMPARED = "COMPARISON - ACTUAL"
 PREDICTED = "COMPARISON - PREDICTED"
 
-# The dashboard's cards: one metric, or two for their ratio.
+# The cards and their metric, or two metrics for a ratio.
 CARDS = {
     "Subscribers": ["net_subscribers"],
     "Comments": ["comments_count"],

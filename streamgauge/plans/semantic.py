@@ -18,6 +18,7 @@ from streamgauge.plans.retention import NO_LABEL, POSITION, VIDEO, viewer_shift_
 # Non-blank minutes a context of N minutes needs.
 MIN_VALID = {1: 1, 2: 1, 3: 1, 4: 2, 5: 3}
 
+# Bands from the lowest scores to the highest.
 BANDS = ["Very Low Change", "Low Change", "Moderate Change", "High Change", "Very High Change"]
 
 
