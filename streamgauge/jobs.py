@@ -72,9 +72,9 @@ def build_raw_vault(spark: SparkSession, root: str, truncate_reload: bool = Fals
     """Hub, satellites and daily fact from staging."""
     videos, days = tables.read_stage(spark, root, VIDEO), tables.read_stage(spark, root, DAY)
     products = {
-        "social_content_sat_details": lambda t: vault.sat_details(videos, t),
-        "social_content_sat_min_viewers": lambda t: vault.sat_minute_viewers(videos, t),
-        "fct_channel_metrics_daily": lambda t: vault.channel_daily(days, t),
+        "social_content_sat_details": lambda t: vault.sat_details(vault.since_target(videos, t), t),
+        "social_content_sat_min_viewers": lambda t: vault.sat_minute_viewers(vault.since_target(videos, t), t),
+        "fct_channel_metrics_daily": lambda t: vault.channel_daily(vault.since_target(days, t), t),
     }
     load_product(spark, f"{root}/rdv/social_content_hub", lambda t: vault.hub(videos, t))
     for name, build in products.items():

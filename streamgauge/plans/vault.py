@@ -60,28 +60,51 @@ def hub(stage_video: DataFrame, target: DataFrame | None = None, per_load: bool
     return rows if target is None else rows.join(target.select("video_id"), "video_id", "left_anti")
 
 
-def parse_details(stage_video: DataFrame) -> DataFrame:
-    """Typed attributes of the video JSON; one parse per row."""
-    data = F.from_json("video_data", VIDEO_DATA)
-    others = [c for c in stage_video.columns if c.lower() not in ("video_data", "minute_metrics", "estimatedminuteswatched")]
-    src = stage_video.withColumn("_d", data)
-    raw = F.col("_d.snippet.title")
-    return src.select(
+def extract_details(stage_video: DataFrame) -> DataFrame:
+    """Attributes of the video JSON as text; one parse per row."""
+    dropped = ("video_data", "minute_metrics", "estimatedminuteswatched")
+    others = [c for c in stage_video.columns if c.lower() not in dropped]
+    return stage_video.withColumn("_d", F.from_json("video_data", VIDEO_DATA)).select(
         *others,
-        raw.alias("video_title_raw"),
-        clean_title(raw).alias("video_title"),
+        F.col("_d.snippet.title").alias("video_title_raw"),
         F.col("_d.snippet.description").alias("video_description"),
-        F.col("_d.snippet.publishedAt").cast("timestamp_ntz").alias("video_published_at"),
-        iso_duration_seconds(F.col("_d.contentDetails.duration")).alias("video_duration_sec"),
+        F.col("_d.snippet.publishedAt").alias("video_published_at"),
+        F.col("_d.contentDetails.duration").alias("video_duration"),
         F.col("_d.topicDetails.topicCategories").alias("video_topic"),
         F.col("_d.snippet.categoryId").alias("video_category"),
-        F.col("_d.statistics.likeCount").cast("int").alias("likes_count"),
-        F.col("_d.statistics.viewCount").cast("int").alias("view_count"),
-        F.col("_d.statistics.commentCount").cast("int").alias("comment_count"),
-        F.col("estimatedMinutesWatched").cast("double").alias("estimated_minutes_watched"),
+        F.col("_d.statistics.likeCount").alias("likes_count"),
+        F.col("_d.statistics.viewCount").alias("view_count"),
+        F.col("_d.statistics.commentCount").alias("comment_count"),
+        F.col("estimatedMinutesWatched").alias("estimated_minutes_watched"),
     )
 
 
+def type_details(texts: DataFrame) -> DataFrame:
+    """Typed attributes with the cleaned title; bad numbers or times are errors."""
+    counts = {c: F.col(c).cast("int") for c in ("likes_count", "view_count", "comment_count")}
+    return texts.withColumns(
+        counts
+        | {
+            "video_title": clean_title(F.col("video_title_raw")),
+            "video_published_at": F.col("video_published_at").cast("timestamp_ntz"),
+            "video_duration_sec": iso_duration_seconds(F.col("video_duration")),
+            "estimated_minutes_watched": F.col("estimated_minutes_watched").cast("double"),
+        }
+    ).drop("video_duration")
+
+
+def since_target(stage: DataFrame, target: DataFrame | None) -> DataFrame:
+    """Staging rows from the target's newest load day on.
+
+    Valid where load times only grow, as ``load_stage`` assigns them: what was
+    staged before has been compared with the target already.
+    """
+    if target is None:
+        return stage
+    newest = target.select(F.max("load_ts")).scalar()
+    return stage.filter(newest.isNull() | (F.col("load_ts") >= F.date_trunc("day", newest)))
+
+
 def _versions(daily: DataFrame, key: str, hashed: Sequence[str], tie: Sequence[str], detect: str) -> DataFrame:
     if detect == "hash":
         return hash_versions(daily, key, hashed, tie=tie, daily=False)
@@ -93,8 +116,12 @@ def _versions(daily: DataFrame, key: str, hashed: Sequence[str], tie: Sequence[s
 def sat_details(
     stage_video: DataFrame, target: DataFrame | None = None, tie: Sequence[str] = (), detect: str = "hash"
 ) -> DataFrame:
-    """Versions of the video attributes; the raw title is not part of the hash."""
-    parsed = parse_details(latest_per_day(stage_video, "video_id", "load_ts", tie))
+    """Versions of the video attributes; the raw title is not part of the hash.
+
+    The JSON is cut down to its attributes before the shuffle and typed after
+    it, so only the rows that count can fail a cast.
+    """
+    parsed = type_details(latest_per_day(extract_details(stage_video), "video_id", "load_ts", tie))
     rows = _versions(parsed, "video_id", DETAIL_HASHED, tie, detect)
     rows = rows.select("video_id", "video_title_raw", *DETAIL_HASHED, "load_ts", HASH)
     return new_versions(rows, target, "video_id")
@@ -124,34 +151,37 @@ def sat_minute_viewers(stage_video: DataFrame, target: DataFrame | None = None,
     return new_versions(rows.select("video_id", *MINUTE_HASHED, "load_ts", HASH), target, "video_id")
 
 
-def parse_day(stage_day: DataFrame) -> DataFrame:
-    """The ten typed channel metrics of the day JSON."""
+# The metrics of the day JSON, their column and type.
+DAY_METRIC_TYPES = {
+    "likes": ("likes", "int"),
+    "views": ("views", "int"),
+    "shares": ("shares", "int"),
+    "comments": ("comments", "int"),
+    "dislikes": ("dislikes", "int"),
+    "subscribersLost": ("subscribers_lost", "int"),
+    "subscribersGained": ("subscribers_gained", "int"),
+    "averageViewDuration": ("average_view_duration", "int"),
+    "averageViewPercentage": ("average_view_percentage", "double"),
+    "estimatedMinutesWatched": ("estimated_minutes_watched", "double"),
+}
+
+
+def extract_day(stage_day: DataFrame) -> DataFrame:
+    """The channel metrics of the day JSON as text."""
     others = [c for c in stage_day.columns if c != "date_metrics"]
-    src = stage_day.withColumn("_d", F.from_json("date_metrics", DAY_METRICS))
+    parsed = stage_day.withColumn("_d", F.from_json("date_metrics", DAY_METRICS))
+    return parsed.select(*others, *[F.col(f"_d.{m}").alias(c) for m, (c, _) in DAY_METRIC_TYPES.items()])
 
-    def metric(name: str, kind: str) -> Column:
-        return F.col(f"_d.{name}").cast(kind)
 
-    return src.select(
-        *others,
-        metric("likes", "int").alias("likes"),
-        metric("views", "int").alias("views"),
-        metric("shares", "int").alias("shares"),
-        metric("comments", "int").alias("comments"),
-        metric("dislikes", "int").alias("dislikes"),
-        metric("subscribersLost", "int").alias("subscribers_lost"),
-        metric("subscribersGained", "int").alias("subscribers_gained"),
-        metric("averageViewDuration", "int").alias("average_view_duration"),
-        metric("averageViewPercentage", "double").alias("average_view_percentage"),
-        metric("estimatedMinutesWatched", "double").alias("estimated_minutes_watched"),
-    )
+def type_day(texts: DataFrame) -> DataFrame:
+    return texts.withColumns({c: F.col(c).cast(kind) for c, kind in DAY_METRIC_TYPES.values()})
 
 
 def channel_daily(
     stage_day: DataFrame, target: DataFrame | None = None, tie: Sequence[str] = (), detect: str = "hash"
 ) -> DataFrame:
     """Versions of the channel's daily metrics."""
-    parsed = parse_day(latest_per_day(stage_day, "date", "load_ts", tie))
+    parsed = type_day(latest_per_day(extract_day(stage_day), "date", "load_ts", tie))
     rows = _versions(parsed, "date", DAY_HASHED, tie, detect)
     return new_versions(rows.select("date", *DAY_HASHED, "load_ts", HASH), target, "date")
 
