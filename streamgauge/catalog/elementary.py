@@ -20,11 +20,6 @@ from streamgauge.sources import landing, lookups, tables, transcripts
 
 rounded = P.rounded
 
-ORDERS = (
-    "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
-    "o_orderdate timestamp_ntz, o_orderpriority string"
-)
-
 
 def landed(i: Input, docs: DataFrame, name: str) -> str:
     """Write documents as JSON lines, the way responses land."""
@@ -38,7 +33,7 @@ def landed(i: Input, docs: DataFrame, name: str) -> str:
 
 @query("s1_stage_scan", "select * from orders")
 def s1(i):
-    return i.spark.read.schema(ORDERS).parquet(f"{i.sf_dir}/orders.parquet")
+    return i.t("orders")
 
 
 S2 = """select event_type, count(*) as n, count(distinct user_id) as users, round(sum(value), 4) as total

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check import compare, connect
+from streamgauge.catalog.adapters import TABLES, table
 
 SF = "/root/testdata/sf0.001"
 KEYS = list(contract.queries())
@@ -31,6 +32,11 @@ def test_query(spark, duck, key):
     assert compare(got, wanted) is None
 
 
+@pytest.mark.parametrize("name", TABLES)
+def test_declared_schema(spark, name):
+    assert table(spark, SF, name).schema == spark.read.parquet(f"{SF}/{name}.parquet").schema
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
