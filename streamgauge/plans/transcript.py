@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from streamgauge.functions.text import blank_if_null, bucket_label, watch_url
 from streamgauge.functions.times import bucket_start
-from streamgauge.operators.joins import keep_unseen
+from streamgauge.operators.joins import keep_unseen, spread_join
 from streamgauge.operators.series import next_value
 from streamgauge.sources import transcripts as files
 from streamgauge.sources.tables import write_snapshot
@@ -28,39 +28,31 @@ def gap_rows(segments: DataFrame) -> DataFrame:
     """A blank row wherever a segment does not end where its successor starts.
 
     Segments are ordered by start and end. "Not equal" includes overlaps, so a
-    blank row can have a negative length. Segments with equal times are folded
-    before they are ordered.
+    blank row can have a negative length. Of the segments with one start time
+    only the last is followed by a later start; the others, copies included,
+    are followed by their own start.
     """
-    times = (
-        segments.groupBy("video_id", "start_time", "end_time")
-        .agg(F.count("*").alias("_n"))
-        .groupBy("video_id", "start_time")
-        .agg(F.array_sort(F.collect_list(F.struct("end_time", "_n"))).alias("_ends"))
+    starts = segments.groupBy("video_id", "start_time").agg(
+        F.max("end_time").alias("_last_end"), F.count("*").alias("_n")
     )
-    # Successors inside one start time are neighbours in the array; the last
-    # one's successor is the next start time of the video.
-    following = next_value(times, ["video_id"], "start_time", "start_time", "_next", span=3600 * 4)
-    last = F.size("_ends") - 1
-    pairs = F.transform(
-        "_ends",
-        lambda e, i: F.struct(
-            e["end_time"].alias("end_time"),
-            e["_n"].alias("_n"),
-            F.when(i < last, F.col("start_time")).otherwise(F.col("_next")).alias("_next"),
-        ),
+    following = next_value(starts, ["video_id"], "start_time", "start_time", "_next", span=3600 * 4)
+    between = following.filter(F.col("_last_end") != F.col("_next")).select(
+        "video_id", F.col("_last_end").alias("start_time"), F.col("_next").alias("end_time")
     )
-    rows = following.select("video_id", "start_time", F.inline(pairs))
-    between = rows.filter(F.col("_next").isNotNull() & (F.col("end_time") != F.col("_next"))).select(
-        "video_id", F.col("end_time").alias("start_time"), F.col("_next").alias("end_time")
-    )
-    among_copies = rows.filter((F.col("_n") > 1) & (F.col("end_time") != F.col("start_time"))).select(
-        "video_id",
-        F.col("end_time").alias("start_time"),
-        F.col("start_time").alias("end_time"),
-        (F.col("_n") - 1).alias("_n"),
+    shared = starts.filter(F.col("_n") > 1).drop("_n")
+    ends = segments.groupBy("video_id", "start_time", "end_time").agg(F.count("*").alias("_copies"))
+    same_start = (
+        spread_join(ends, shared, ["video_id", "start_time"], "inner", ["end_time"])
+        .withColumn("_copies", F.col("_copies") - (F.col("end_time") == F.col("_last_end")).cast("long"))
+        .filter((F.col("_copies") > 0) & (F.col("end_time") != F.col("start_time")))
+        .select(
+            "video_id",
+            F.col("end_time").alias("start_time"),
+            F.col("start_time").alias("end_time"),
+            "_copies",
+        )
     )
-    copies = _expand(among_copies, "_n").drop("_n")
-    return between.unionByName(copies).withColumn("text", F.lit(""))
+    return between.unionByName(_expand(same_start, "_copies").drop("_copies")).withColumn("text", F.lit(""))
 
 
 def fill_gaps(segments: DataFrame) -> DataFrame:
