@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamgauge.functions.text import blank_if_null
-from streamgauge.functions.vectors import cosine, text_if_covered, unless_blank, vector_sum
+from streamgauge.functions.vectors import context_similarity, text_if_covered, unless_blank
 from streamgauge.operators.series import trailing_values
 from streamgauge.session import materialize
 from streamgauge.plans.retention import NO_LABEL, POSITION, VIDEO, viewer_shift_label
@@ -75,10 +75,9 @@ def _shift(size: int, needed: int | None):
     early = F.size(before) < size
     if needed is None:
         return F.when(early, F.lit(0.0))
-    # Cosine ignores length, so the sum stands for the mean.
-    similarity = cosine(F.col("embedding"), vector_sum(spoken))
-    scored = F.when(F.col("embedding").isNotNull() & (F.size(spoken) >= needed), 1 - similarity)
-    return F.when(early, F.lit(0.0)).otherwise(scored)
+    enough = ~early & F.col("embedding").isNotNull() & (F.size(spoken) >= needed)
+    similarity = context_similarity(F.col("embedding"), F.when(enough, spoken))
+    return F.when(early, F.lit(0.0)).otherwise(1 - similarity)
 
 
 def sd_bands(df: DataFrame, col: str = "semantic_shift_5m", out: str | None = None) -> DataFrame:
