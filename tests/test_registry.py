@@ -7,10 +7,11 @@ import pytest
 
 import __spark_entry__ as contract
 from check import compare, connect
+from streamgauge.catalog import all_oracles, all_queries
 from streamgauge.catalog.adapters import TABLES, table
 
 SF = "/root/testdata/sf0.001"
-KEYS = list(contract.queries())
+KEYS = list(all_queries())
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the generated tables")
 
@@ -48,4 +49,4 @@ def test_whole_inventory_is_registered():
 
 
 def test_only_model_fits_lack_sql():
-    assert set(KEYS) - set(contract.oracle_sql()) == {"g1_embed_text", "g2_series_forecast", "m32_curve_clusters"}
+    assert set(KEYS) - set(all_oracles()) == {"g1_embed_text", "g2_series_forecast", "m32_curve_clusters"}
