@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamgauge.llm import mixing, quality, warc
+from streamgauge.llm import mixing, near, quality, warc
 from streamgauge.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ copied as (select *, cast(floor(shift + rate * r) - floor(shift + rate * (r - 1)
 
 ORACLES["op10_mixing"] = "with docs as (select * from documents)," + MIXING_CTES + """
 select doc_id, cast(size as bigint) as size, source_size, target, cast(copies * size as bigint) as taken from copied"""
+
+
+@query
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)

@@ -85,8 +85,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_records(records: DataFrame) -> DataFrame:
     """The fields of raw records: header lines by name, payload bytes after the blank line."""
-    text = F.decode(F.expr(f"substring(record, 1, {_HEAD})"), "UTF-8")
-    head = F.substring_index(text, END + END, 1)
+    head = F.substring_index(F.col("record").cast("string"), END + END, 1)
 
     def field(name: str) -> Column:
         found = F.regexp_extract(head, rf"(?m)^{name}: (.*?)\r?$", 1)
@@ -98,14 +97,10 @@ def parse_records(records: DataFrame) -> DataFrame:
         field("WARC-Type").alias("record_type"),
         F.regexp_extract(field("WARC-Payload-Digest"), "sha1:(.*)", 1).alias("payload_digest"),
         F.regexp_extract(field("WARC-Refers-To"), "page:(-?[0-9]+)", 1).cast("long").alias("refers_to"),
-        F.expr("record").substr(F.octet_length(head) + 5, length).alias("payload"),
+        F.col("record").substr(F.octet_length(head) + 5, length).alias("payload"),
     )
 
 
-#: Longest header that is looked for, in bytes; the target line may be long.
-_HEAD = 65536
-
-
 def verified_pages(spark: SparkSession, path: str) -> DataFrame:
     """Per record: page_id, size and digest of its full payload, its type and what it refers to.
 
