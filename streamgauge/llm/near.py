@@ -246,7 +246,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     placed = buckets.join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", "n_members", F.coalesce("component", "rep").alias("component"))
     placed = stored(placed, "near_placed")
-    several = placed.groupBy("key").agg((F.min("component") <> F.max("component")).alias("several")).filter("several").select("key")
+    several = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("several")).filter("several").select("key")
     open_rows = placed.join(several, "key").join(reps.select("rep", "sig"), "rep")
     across = stored(_across(open_rows), "near_across").join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = _confirmed(_within_radius(across, reps, percent), docs, words, percent)
