@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamgauge.llm import mixing, near, quality, warc
+from streamgauge.llm import mixing, near, quality, spans, warc
 from streamgauge.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,9 @@ select doc_id, cast(size as bigint) as size, source_size, target, cast(copies *
 @query
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query
+def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = spans.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
