@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamgauge.llm import mixing, near, quality, spans, warc
+from streamgauge.llm import langid, mixing, near, quality, spans, warc
 from streamgauge.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,10 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = spans.remove_repeats(table(spark, sf_dir, "documents"), length=100)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit_languages(docs, fold(4) != 2)
+    return langid.label_languages(docs, model).select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
