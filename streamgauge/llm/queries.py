@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamgauge.llm import langid, mixing, near, quality, spans, warc
+from streamgauge.llm import langid, lattice, mixing, near, quality, spans, warc
 from streamgauge.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,13 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit_languages(docs, fold(4) != 2)
     return langid.label_languages(docs, model).select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query
+def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(7) == 2
+    scored = lattice.score_texts(table(spark, sf_dir, "documents"), ~held_out, VOCABULARY)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
