@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamgauge.llm.common import Rolling, binary_rows, mixed, slices, stored, text_bytes
+from streamgauge.llm.common import Rolling, binary_rows, slices, stored, text_bytes
 from streamgauge.llm.induced import permuted_prefixes, suffix_array
 
 #: Bytes of a seed: the smallest hash among the seeds of a window decides where the window is compared.
@@ -17,23 +16,25 @@ SEED = 32
 FREQUENT = 4096
 SHARD_BYTES = 4 << 20
 
-_CONTEXT = "h long, d long, n long, doc_id long, start int, run int, context binary"
+#: What becomes of a run of windows: it stands earlier too; its bytes are compared; its windows are, one by one.
+REPEATED, COMPARED, FREQUENT_SEED = 0, 1, 2
 
 
-def _window_runs(data: np.ndarray, borders: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _window_runs(known: Rolling, borders: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of window starts that share their deciding seed: the seed's hash, first start, number of starts.
 
     Equal windows have equal deciding seeds at equal offsets, the last smallest one
     in each, so what is equal anywhere meets under one hash.
     """
     none = np.zeros(0, np.int64)
-    n = len(data) - length + 1
+    whole = int(borders[-1])
+    n = whole - length + 1
     if n <= 0:
         return none.astype(np.uint64), none, none
-    at = np.arange(len(data) - SEED + 1)
-    hashes = Rolling(data).of(at, at + SEED)
-    low = np.uint64((1 << max(len(data).bit_length(), 1)) - 1)
-    packed = (mixed(hashes, 51) & ~low) | (low - at.astype(np.uint64))
+    at = np.arange(whole - SEED + 1)
+    hashes = known.of(at, at + SEED)
+    low = np.uint64((1 << max(whole.bit_length(), 1)) - 1)
+    packed = (hashes & ~low) | (low - at.astype(np.uint64))
     width = length - SEED + 1
     padded = np.full(-(-len(packed) // width) * width, np.iinfo(np.uint64).max, np.uint64)
     padded[: len(packed)] = packed
@@ -61,92 +62,114 @@ def _window_runs(data: np.ndarray, borders: np.ndarray, length: int) -> tuple[np
 
 
 def _seeds(docs: DataFrame, length: int) -> DataFrame:
-    """``h``, ``doc_id``, ``start``, ``run`` of all runs of windows."""
+    """All runs of windows: seed ``h``, digest ``d`` of the bytes that the run covers, ``doc_id``, ``start``, ``run``."""
 
     def run(batches):
         for batch in slices(batches, "text"):
             data, borders = text_bytes(batch.column("text"))
-            h, begin, count = _window_runs(data, borders, length)
+            known = Rolling(data)
+            h, begin, count = _window_runs(known, borders, length)
             row = np.searchsorted(borders, begin, "right") - 1
-            # An empty row has the border of the next one: the last of equal borders is meant, as "right" gives.
+            d = known.of(begin, begin + count + length - 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), batch.column("doc_id").take(pa.array(row)), pa.array((begin - borders[row]).astype(np.int32)), pa.array(count.astype(np.int32))],
-                ["h", "doc_id", "start", "run"],
+                [pa.array(h.view(np.int64)), pa.array(d.view(np.int64)), batch.column("doc_id").take(pa.array(row)), pa.array((begin - borders[row]).astype(np.int32)), pa.array(count.astype(np.int32))],
+                ["h", "d", "doc_id", "start", "run"],
             )
 
-    return docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, "h long, doc_id long, start int, run int")
+    return docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, "h long, d long, doc_id long, start int, run int")
+
+
+def _in_groups(batches, column: str):
+    """The sorted rows in tables that never part equal values of ``column``."""
+    held = None
+    for batch in batches:
+        new = pa.Table.from_batches([batch])
+        held = new if held is None else pa.concat_tables([held, new])
+        if held.num_rows:
+            key = held.column(column).to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut:
+                yield held.slice(0, cut)
+            held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _sorted_out(runs: DataFrame) -> DataFrame:
+    """Each run's ``kind``; runs that no other can equal, even in part, are left out.
+
+    Runs of a seed with equal digests are equal: all but the first are repeated.
+    The first ones are compared with each other unless there is just one. Runs of
+    frequent seeds are passed on, dealt by themselves.
+    """
+
+    def run(batches):
+        for rows in _in_groups(batches, "h"):
+            h, d, n, doc, start = (rows.column(c).to_numpy() for c in ("h", "d", "n", "doc_id", "start"))
+            new_h = np.concatenate([[True], h[1:] != h[:-1]])
+            new = new_h | np.concatenate([[True], d[1:] != d[:-1]])
+            first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+            # A repeated row of the table is the same place, not a later one.
+            later = (doc != doc[first]) | (start != start[first])
+            seeds = np.cumsum(new_h) - 1
+            several = np.bincount(seeds, new)[seeds] > 1
+            kind = np.where(later, REPEATED, COMPARED)
+            kind[n > FREQUENT] = FREQUENT_SEED
+            keep = pa.array((n > FREQUENT) | later | (new & several))
+            yield from rows.select(["h", "doc_id", "start", "run"]).append_column("kind", pa.array(kind.astype(np.int32))).filter(keep).to_batches()
 
+    part = F.when(F.col("n") > FREQUENT, F.xxhash64("doc_id", "start")).otherwise(F.lit(0))
+    dealt = runs.withColumn("part", part).repartition("h", "part").sortWithinPartitions("h", "d", "doc_id", "start")
+    return dealt.select("h", "d", "n", "doc_id", "start", "run").mapInArrow(run, "h long, doc_id long, start int, run int, kind int")
 
-def _contexts(rows: DataFrame, length: int) -> DataFrame:
-    """The bytes around each run whose seed repeats; for frequent seeds, each window's digest alone."""
+
+def _bytes_around(rows: DataFrame, length: int) -> DataFrame:
+    """The bytes that compared runs cover; for frequent seeds, the digest ``d`` of each window."""
 
     def run(batches):
         for batch in slices(batches, "text", 1 << 19):
             data, borders = text_bytes(batch.column("text"))
-            lists = {c: batch.column(c) for c in ("h", "n", "start", "run")}
+            lists = {c: batch.column(c) for c in ("h", "start", "run", "kind")}
             counts = np.diff(lists["h"].offsets.to_numpy())
-            h, n, start, size = (lists[c].flatten().to_numpy() for c in lists)
+            h, start, size, kind = (lists[c].flatten().to_numpy() for c in lists)
             row = np.repeat(np.arange(batch.num_rows), counts)
             known = Rolling(data)
             ids = batch.column("doc_id").to_numpy()
             for frequent in (False, True):
-                use = np.flatnonzero((n > FREQUENT) == frequent)
+                use = np.flatnonzero(kind == (FREQUENT_SEED if frequent else COMPARED))
                 times = size[use] if frequent else np.ones(len(use), np.int64)
                 source = np.repeat(use, times)
-                inner = np.arange(len(source)) - np.repeat(np.cumsum(times) - times, times)
-                begin = start[source] + inner
+                begin = start[source] + np.arange(len(source)) - np.repeat(np.cumsum(times) - times, times)
                 at = borders[row[source]] + begin
                 took = np.full(len(source), length, np.int64) if frequent else size[source] + length - 1
-                d = known.of(at, at + took)
-                step = 20_000
-                for k in range(0, len(source), step):
-                    part = slice(k, k + step)
+                d = known.of(at, at + took).view(np.int64)
+                for k in range(0, len(source), 20_000):
+                    part = slice(k, k + 20_000)
+                    own = source[part]
                     if frequent:
-                        context = pa.array([b""] * len(at[part]), pa.binary())
+                        content = pa.nulls(len(own), pa.binary())
                     else:
                         edges = np.concatenate([[0], np.cumsum(took[part])])
-                        index = np.repeat(at[part] - edges[:-1], took[part]) + np.arange(edges[-1])
-                        context = binary_rows(data[index], edges)
+                        content = binary_rows(data[np.repeat(at[part] - edges[:-1], took[part]) + np.arange(edges[-1])], edges)
+                    runs = np.ones(len(own), np.int32) if frequent else size[own].astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[source[part]]), pa.array(d[part].view(np.int64)), pa.array(n[source[part]]), pa.array(ids[row[source[part]]]), pa.array(begin[part].astype(np.int32)),
-                         pa.array((np.ones(len(at[part])) if frequent else size[source[part]]).astype(np.int32)), context],
-                        ["h", "d", "n", "doc_id", "start", "run", "context"],
-                    )
+                        [pa.array(h[own]), pa.array(d[part]), pa.array(ids[row[own]]), pa.array(begin[part].astype(np.int32)), pa.array(runs), content], ["h", "d", "doc_id", "start", "run", "context"]
+                    )
 
-    return rows.mapInArrow(run, _CONTEXT)
+    return rows.mapInArrow(run, "h long, d long, doc_id long, start int, run int, context binary")
 
 
-def _first_ones(rows: DataFrame, spread: bool) -> DataFrame:
-    """Marks all rows but the first of each content as ``repeated`` and drops their bytes.
+def _repeated_windows(windows: DataFrame) -> DataFrame:
+    """Windows of frequent seeds that stand earlier: ``doc_id``, ``start``, ``run``.
 
-    Contents of frequent seeds meet in parts first (``spread``), so that no
-    content gathers in one task; their first rows meet once more.
+    The first place of each digest is a minimum, summed up in parts before the
+    shuffle, and a join marks all others; a digest with very many places is split
+    there like any skewed key.
     """
-
-    def run(batches):
-        last = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            cols = [batch.column(c).to_numpy() for c in ("h", "d", "part", "doc_id", "start")]
-            same = np.ones(batch.num_rows, bool)
-            for i, c in enumerate(cols[:3]):
-                same[1:] &= c[1:] == c[:-1]
-                same[0] &= last is not None and last[i] == c[0]
-            heads = np.flatnonzero(~same)
-            group = np.cumsum(~same) - 1
-            first = [np.where(group >= 0, c[heads[np.maximum(group, 0)]] if len(heads) else c, last[3 + i] if last is not None else 0) for i, c in enumerate(cols[3:])]
-            # A repeated row of the table is the same place, not a later one.
-            repeated = same & ((cols[3] != first[0]) | (cols[4] != first[1]))
-            last = [c[-1] for c in cols[:3]] + [f[-1] for f in first]
-            keep = pa.array(~same | repeated)
-            context = pc.if_else(pa.array(repeated), pa.scalar(b"", pa.binary()), batch.column("context"))
-            out = [batch.column(c) for c in ("h", "d", "n", "doc_id", "start", "run")] + [context, pa.array(repeated)]
-            yield pa.RecordBatch.from_arrays(out, ["h", "d", "n", "doc_id", "start", "run", "context", "repeated"]).filter(keep)
-
-    parts = F.when(F.col("n") > FREQUENT, F.pmod(F.xxhash64("doc_id", "start"), F.ceil(F.col("n") / FREQUENT))).otherwise(F.lit(0)) if spread else F.lit(0)
-    dealt = rows.withColumn("part", parts.cast("long")).repartition("h", "d", "part").sortWithinPartitions("h", "d", "part", "doc_id", "start")
-    return dealt.mapInArrow(run, _CONTEXT + ", repeated boolean")
+    least = windows.groupBy("h", "d").agg(F.min("doc_id").alias("first_doc"))
+    placed = windows.join(least, ["h", "d"])
+    inside = placed.filter("doc_id = first_doc").groupBy("h", "d").agg(F.min("start").alias("first_start"))
+    return placed.join(inside, ["h", "d"]).filter("doc_id <> first_doc or start <> first_start").select("doc_id", "start", F.lit(1).alias("run"))
 
 
 def _repeats_in_shards(contexts: DataFrame, length: int) -> DataFrame:
@@ -155,27 +178,11 @@ def _repeats_in_shards(contexts: DataFrame, length: int) -> DataFrame:
     shards = int(total) // SHARD_BYTES + 1
 
     def run(batches):
-        held = None
-        for batch in batches:
-            new = pa.Table.from_batches([batch])
-            held = new if held is None else pa.concat_tables([held, new])
-            if held.num_rows == 0:
-                continue
-            shard = held.column("shard").to_numpy()
-            whole = int(np.flatnonzero(shard != shard[-1])[-1]) + 1 if (shard != shard[-1]).any() else 0
-            for part in parts(held.slice(0, whole)):
-                yield part
-            held = held.slice(whole)
-        if held is not None:
-            yield from parts(held)
-
-    def parts(rows):
-        if rows.num_rows == 0:
-            return
-        shard = rows.column("shard").to_numpy()
-        edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
-        for a, b in zip(edges[:-1], edges[1:]):
-            yield repeats(rows.slice(a, b - a))
+        for rows in _in_groups(batches, "shard"):
+            shard = rows.column("shard").to_numpy()
+            edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
+            for a, b in zip(edges[:-1], edges[1:]):
+                yield repeats(rows.slice(a, b - a))
 
     def repeats(rows):
         doc, start, size = (rows.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "start", "run"))
@@ -215,13 +222,14 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     (the remaining bytes), a row per row of ``docs``.
 
     Each window of ``length`` bytes is dealt by its deciding seed, and only runs
-    of windows whose seed stands at several places go on, with the bytes around
-    them. Equal contexts keep their first one. The different contexts go to shards
-    of bounded size; each builds a suffix array by induced sorting and common
-    prefixes in text order, and windows with a common prefix of ``length`` are
-    equal. Windows of a seed that is frequent among all documents are dealt one by
-    one instead, by their own digest, so that a passage that a third of all
-    documents hold is spread over tasks. Nothing is left out in either way.
+    of windows whose seed stands at several places go on. Of runs that cover equal
+    bytes all but the first are repeated. The different ones of a seed go, with
+    their bytes, to shards of bounded size; each builds a suffix array by induced
+    sorting and common prefixes in text order, and windows with a common prefix of
+    ``length`` are equal. Windows of a seed that is frequent among all documents
+    are dealt one by one instead, by their own digest, so that a passage that a
+    third of all documents hold is spread over tasks. Nothing is left out in
+    either way.
 
     Null and empty texts have no bytes and no removals. Rows without doc_id are
     neither changed nor compared. Repeated rows with one doc_id are one place; their
@@ -230,20 +238,14 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     equal 64-bit seeds.
     """
     counted = stored(_seeds(docs, length).groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "span_seeds")
-    places = (
-        _seeds(docs, length).join(counted.hint("shuffle_hash"), "h")
-        .groupBy("doc_id").agg(F.collect_list(F.struct("h", "n", "start", "run")).alias("p"))
-        .select(F.col("doc_id").alias("id"), *[F.col(f"p.{c}").alias(c) for c in ("h", "n", "start", "run")])
-    )
-    places = stored(places, "span_places")
-    around = _contexts(docs.select("doc_id", "text").join(places, F.col("doc_id") == F.col("id")).select("doc_id", "text", "h", "n", "start", "run"), length)
-    met = stored(_first_ones(around, spread=True), "span_contexts")
-    fields = ["h", "d", "n", "doc_id", "start", "run", "context"]
-    again = stored(_first_ones(met.filter(~F.col("repeated") & (F.col("n") > FREQUENT)).select(fields), spread=False), "span_again")
+    runs = stored(_sorted_out(_seeds(docs, length).join(counted.hint("shuffle_hash"), "h")), "span_runs")
+    places = runs.filter(F.col("kind") != REPEATED).groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("h", "start", "run", "kind")).alias("p"))
+    rows = docs.select("doc_id", "text").join(places, F.col("doc_id") == F.col("id")).select("doc_id", "text", *[F.col(f"p.{c}").alias(c) for c in ("h", "start", "run", "kind")])
+    around = stored(_bytes_around(rows, length), "span_bytes")
     marks = (
-        met.filter("repeated").select("doc_id", "start", "run")
-        .union(again.filter("repeated").select("doc_id", "start", "run"))
-        .union(_repeats_in_shards(met.filter(~F.col("repeated") & (F.col("n") <= FREQUENT)), length))
+        runs.filter(F.col("kind") == REPEATED).select("doc_id", "start", "run")
+        .union(_repeated_windows(around.filter("context is null").select("h", "d", "doc_id", "start")))
+        .union(_repeats_in_shards(around.filter("context is not null"), length))
     )
     marks = stored(marks.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("start", "run")).alias("marks")), "span_marks")
 
