@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from streamgauge.llm.common import Rolling, binary_rows, mixed, slices, stored, text_bytes, words_of
 from streamgauge.llm.graph import components
 
-#: A signature has SYMBOLS values of 16 bits. Texts whose sets agree to 0.8 differ in 12.8 of
-#: them on average, with a deviation of 3.2: one in 100,000 such pairs differs in over RADIUS.
-SYMBOLS, RADIUS = 64, 27
+#: A signature has SYMBOLS values of 8 bits, of which the first INDEXED are index keys. Texts whose sets
+#: agree to 0.8 differ in 12.8 of those on average, with a deviation of 3.2, and in 51.2 of all, with a
+#: deviation of 6.4: one in 100,000 such pairs differs in over RADIUS or in over WHOLE_RADIUS.
+INDEXED, RADIUS = 64, 27
+SYMBOLS, WHOLE_RADIUS = 256, 80
 #: Rows of a bucket that are held against each other in one go.
 BLOCK = 512
 
@@ -61,14 +63,14 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
             full = np.flatnonzero(n)
             begin = (np.cumsum(n) - n)[full]
             d1, d2 = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64)
-            sig = np.zeros((batch.num_rows, SYMBOLS), np.uint16)
+            sig = np.zeros((batch.num_rows, SYMBOLS), np.uint8)
             if len(full):
                 with np.errstate(over="ignore"):
                     d1[full] = np.add.reduceat(mixed(hashes, 11), begin)
                     d2[full] = np.add.reduceat(mixed(hashes, 12), begin)
                     for k in range(SYMBOLS):
                         least = np.minimum.reduceat((hashes ^ _MASKS[k]) * _FACTORS[k], begin)
-                        sig[full, k] = mixed(least, 23) >> np.uint64(48)
+                        sig[full, k] = mixed(least, 23) >> np.uint64(56)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), binary_rows(sig.ravel(), np.arange(batch.num_rows + 1) * SYMBOLS)],
                 ["doc_id", "n_shingles", "d1", "d2", "sig"],
@@ -78,7 +80,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _unpacked(column: pa.Array) -> np.ndarray:
-    return text_bytes(column)[0].view(np.uint16).reshape(-1, SYMBOLS)
+    return text_bytes(column)[0].reshape(-1, SYMBOLS)
 
 
 def chunk_keys(sig: np.ndarray, radius: int = RADIUS) -> np.ndarray:
@@ -101,11 +103,19 @@ def chunk_keys(sig: np.ndarray, radius: int = RADIUS) -> np.ndarray:
     return np.stack(keys, axis=1)
 
 
+def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether signatures lie within both radii."""
+    out = (a[:, :INDEXED] != b[:, :INDEXED]).sum(axis=1) <= RADIUS
+    some = np.flatnonzero(out)
+    out[some] = (a[some] != b[some]).sum(axis=1) <= WHOLE_RADIUS
+    return out
+
+
 def _indexed(reps: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                keys = chunk_keys(_unpacked(batch.column("sig")))
+                keys = chunk_keys(_unpacked(batch.column("sig"))[:, :INDEXED])
                 ids = np.repeat(batch.column("rep").to_numpy(), keys.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], ["key", "rep"])
 
@@ -118,7 +128,7 @@ def _within_radius(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                near = (_unpacked(batch.column("sig_a")) != _unpacked(batch.column("sig_b"))).sum(axis=1) <= RADIUS
+                near = _close(_unpacked(batch.column("sig_a")), _unpacked(batch.column("sig_b")))
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(near)), batch.column("b").filter(pa.array(near))], ["a", "b"])
 
     x = reps.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a"), F.col("n").alias("n_a"))
@@ -188,13 +198,13 @@ def _across(members: DataFrame) -> DataFrame:
         later = end - np.arange(len(tile)) - 1
         done, total = 0, np.concatenate([[0], np.cumsum(later)])
         while done < len(tile):
-            stop = max(done + 1, int(np.searchsorted(total, total[done] + 200_000, "right")) - 1)
+            stop = max(done + 1, int(np.searchsorted(total, total[done] + 50_000, "right")) - 1)
             n = later[done:stop]
             left = np.repeat(np.arange(done, stop), n)
             right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
             use = (component[left] != component[right]) & ((block[left] != block[right]) == cut[left])
             left, right = left[use], right[use]
-            near = (sig[left] != sig[right]).sum(axis=1) <= RADIUS
+            near = _close(sig[left], sig[right])
             a, b = rep[left[near]], rep[right[near]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
             done = stop
@@ -220,8 +230,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     out in turn, is an index key, so every two signatures within the radius share
     a key. First each bucket is held against its smallest id only, and what full
     sets confirm is joined to components: a bucket of a thousand copies needs a
-    thousand comparisons. Then only buckets that still hold several components are
-    compared pair by pair, in tiles, and just across components. So no link that
+    thousand comparisons. Where a bucket still holds several components, its rows are
+    held against three more of its rows. Then only buckets that hold several
+    components even so are compared pair by pair, in tiles, and just across
+    components. So no link that
     could join two components is left out, and copies are never paired among
     themselves.
 
@@ -244,11 +256,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = _confirmed(stars, docs, words, percent)
     found = stored(components(links), "near_components")
 
-    placed = buckets.join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", "n_members", F.coalesce("component", "rep").alias("component"))
-    placed = stored(placed, "near_placed")
-    several = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("several")).filter("several").select("key")
-    open_rows = placed.join(several, "key").join(reps.select("rep", "sig"), "rep")
-    across = stored(_across(open_rows), "near_across").join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    def placed(now):
+        return stored(buckets.join(now, F.col("rep") == F.col("node"), "left").select("key", "rep", "n_members", F.coalesce("component", "rep").alias("component")), "near_placed")
+
+    # Buckets that hold several components: each row against three more rows of its bucket.
+    rows = placed(found)
+    scatter = F.xxhash64("rep", "key")
+    ends = [("rep", F.max_by), (scatter, F.min_by), (scatter, F.max_by)]
+    hubs = rows.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.array(*[F.struct(pick("rep", by).alias("hub"), pick("component", by).alias("other")) for by, pick in ends]).alias("hubs")
+    )
+    pairs = rows.join(hubs.filter("low <> high").select("key", "hubs"), "key").select("rep", "component", F.inline("hubs")).filter("component <> other")
+    tried = stored(_within_radius(pairs.select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"), reps, percent), "near_stars")
+    links = _confirmed(tried, docs, words, percent)
+    found = stored(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)), "near_components")
+    tried = stars.union(tried).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    # What is left: pairs across components, in tiles.
+    rows = placed(found)
+    several = rows.groupBy("key").agg((F.min("component") != F.max("component")).alias("several")).filter("several").select("key")
+    open_rows = rows.join(several, "key").join(reps.select("rep", "sig"), "rep")
+    across = stored(_across(open_rows), "near_across").join(tried, ["a", "b"], "left_anti")
     more = _confirmed(_within_radius(across, reps, percent), docs, words, percent)
     joined = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 

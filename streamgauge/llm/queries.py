@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamgauge.llm import langid, lattice, leaks, mixing, near, quality, spans, warc
+from streamgauge.llm import langid, lattice, leaks, mixing, near, neighbours, quality, spans, warc
 from streamgauge.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,8 @@ leaked as (select doc_id, count(distinct item_id) as n, min(item_id) as item_id,
 ORACLES["op8_decontaminate"] = "with docs as (select * from documents)," + LEAK_CTES + """
 select doc_id, n is not null as contaminated, cast(coalesce(n, 0) as bigint) as n_items, item_id, cast(coalesce(matched, 0) as bigint) as matched
 from docs left join leaked using (doc_id)"""
+
+
+@query
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
