@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamgauge.llm import langid, lattice, leaks, mixing, near, neighbours, quality, spans, warc
+from streamgauge.llm import langid, lattice, leaks, mixing, near, neighbours, pages, quality, spans, warc
 from streamgauge.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,8 @@ from docs left join leaked using (doc_id)"""
 @query
 def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query
+def op9_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_main_text(table(spark, sf_dir, "pages"))
