@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -222,6 +223,54 @@ def best_path(scores: np.ndarray, count: np.ndarray, switch: float = SWITCH) ->
     return path
 
 
+def _labelled(batch: pa.RecordBatch, model: LanguageModel) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Language, score and spans of each text."""
+    data, borders = text_bytes(batch.column("text"))
+    starts, ends, row = words_of(data, borders)
+    n, langs = batch.num_rows, len(model.langs)
+    scores = word_scores(model, data, starts, ends)
+    count = np.bincount(row, minlength=n)
+    path = best_path(scores, count)
+    weight = np.where(np.abs(scores).sum(axis=1) > 0, ends - starts, 0) if langs else np.zeros(len(starts))
+    share = np.zeros((n, max(langs, 1)))
+    np.add.at(share, (row, path), weight)
+    total = np.zeros((n, max(langs, 1)))
+    if langs:
+        for lang in range(langs):
+            total[:, lang] = np.bincount(row, scores[:, lang], n)
+        share += model.prior - model.prior.min() + 1e-9
+    best = share.argmax(axis=1)
+    of_all = share[np.arange(n), best] / np.maximum(share.sum(axis=1), 1e-12)
+    behind = np.clip(total - total[np.arange(n), best][:, None], -50, 50)
+    clear = 1 / np.exp(behind).sum(axis=1)
+    letters = np.zeros(n, bool)
+    plain = (data | 32) - 97 < 26
+    if len(data):
+        full = np.flatnonzero(np.diff(borders))
+        letters[full] = np.logical_or.reduceat(plain, borders[full])
+    texts = batch.column("text")
+    for i in np.flatnonzero(~letters & (np.diff(borders) > 0)):
+        letters[i] = any(c.isalpha() for c in texts[i].as_py())
+    known = letters & (langs > 0)
+    names = [model.langs[b] if k else "und" for b, k in zip(best, known)]
+    change = np.ones(len(path), bool)
+    change[1:] = (path[1:] != path[:-1]) | (row[1:] != row[:-1])
+    change &= known[row]
+    begin = np.flatnonzero(change)
+    last = np.concatenate([begin[1:], [len(path)]]) - 1
+    if len(begin):
+        closes = np.ones(len(path), bool)
+        closes[:-1] = (path[1:] != path[:-1]) | (row[1:] != row[:-1])
+        last = np.flatnonzero(closes & known[row])
+    own = borders[row[begin]]
+    spans = pa.StructArray.from_arrays(
+        [pa.array((starts[begin] - own).astype(np.int32)), pa.array((ends[last] - own).astype(np.int32) if len(begin) else np.zeros(0, np.int32)), pa.array([model.langs[p] for p in path[begin]], pa.string())],
+        ["start", "end", "lang"],
+    )
+    edges = np.concatenate([[0], np.cumsum(np.bincount(row[begin], minlength=n))]).astype(np.int32)
+    return pa.array(names, pa.string()), pa.array(np.where(known, np.clip(of_all * clear, 0, 1), 0.0)), pa.ListArray.from_arrays(pa.array(edges), spans)
+
+
 def label_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` and ``spans`` of every whole text.
 
@@ -235,52 +284,20 @@ def label_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches):
         for batch in slices(batches, "text"):
-            data, borders = text_bytes(batch.column("text"))
-            starts, ends, row = words_of(data, borders)
-            n, langs = batch.num_rows, len(model.langs)
-            scores = word_scores(model, data, starts, ends)
-            count = np.bincount(row, minlength=n)
-            path = best_path(scores, count)
-            weight = np.where(np.abs(scores).sum(axis=1) > 0, ends - starts, 0) if langs else np.zeros(len(starts))
-            share = np.zeros((n, max(langs, 1)))
-            np.add.at(share, (row, path), weight)
-            total = np.zeros((n, max(langs, 1)))
-            if langs:
-                for lang in range(langs):
-                    total[:, lang] = np.bincount(row, scores[:, lang], n)
-                share += model.prior - model.prior.min() + 1e-9
-            best = share.argmax(axis=1)
-            of_all = share[np.arange(n), best] / np.maximum(share.sum(axis=1), 1e-12)
-            behind = np.clip(total - total[np.arange(n), best][:, None], -50, 50)
-            clear = 1 / np.exp(behind).sum(axis=1)
-            letters = np.zeros(n, bool)
-            plain = (data | 32) - 97 < 26
-            if len(data):
-                full = np.flatnonzero(np.diff(borders))
-                letters[full] = np.logical_or.reduceat(plain, borders[full])
-            texts = batch.column("text")
-            for i in np.flatnonzero(~letters & (np.diff(borders) > 0)):
-                letters[i] = any(c.isalpha() for c in texts[i].as_py())
-            known = letters & (langs > 0)
-            names = [model.langs[b] if k else "und" for b, k in zip(best, known)]
-            change = np.ones(len(path), bool)
-            change[1:] = (path[1:] != path[:-1]) | (row[1:] != row[:-1])
-            change &= known[row]
-            begin = np.flatnonzero(change)
-            last = np.concatenate([begin[1:], [len(path)]]) - 1
-            if len(begin):
-                closes = np.ones(len(path), bool)
-                closes[:-1] = (path[1:] != path[:-1]) | (row[1:] != row[:-1])
-                last = np.flatnonzero(closes & known[row])
-            own = borders[row[begin]]
-            spans = pa.StructArray.from_arrays(
-                [pa.array((starts[begin] - own).astype(np.int32)), pa.array((ends[last] - own).astype(np.int32) if len(begin) else np.zeros(0, np.int32)), pa.array([model.langs[p] for p in path[begin]], pa.string())],
-                ["start", "end", "lang"],
-            )
-            edges = np.concatenate([[0], np.cumsum(np.bincount(row[begin], minlength=n))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(np.where(known, np.clip(of_all * clear, 0, 1), 0.0)), pa.ListArray.from_arrays(pa.array(edges), spans)],
-                ["doc_id", "lang_pred", "score", "spans"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *_labelled(batch, model)], ["doc_id", "lang_pred", "score", "spans"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, spans array<struct<start: int, end: int, lang: string>>")
+
+
+def known_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The rows of ``docs`` whose text has a language, all columns as they are; ``und`` goes, a null ``lang`` is filled in."""
+
+    def run(batches):
+        for batch in slices(batches, "text"):
+            names = _labelled(batch, model)[0]
+            lang = batch.schema.get_field_index("lang")
+            columns = batch.columns
+            columns[lang] = pc.coalesce(columns[lang], names)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pc.not_equal(names, "und"))
+
+    return docs.mapInArrow(run, docs.schema)

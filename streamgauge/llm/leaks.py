@@ -89,3 +89,9 @@ def leak_report(docs: DataFrame, leaks: DataFrame) -> DataFrame:
     return docs.select("doc_id").join(by_doc, F.col("doc_id") == F.col("id"), "left").select(
         "doc_id", F.col("id").isNotNull().alias("contaminated"), F.coalesce("n", F.lit(0)).cast("long").alias("n_items"), "item_id", F.coalesce("matched", F.lit(0)).cast("long").alias("matched")
     )
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id has no leak, all columns as they are."""
+    leaked = stored(find_leaks(docs, benchmark).select("doc_id").distinct(), "leaked")
+    return docs.join(_small(leaked), "doc_id", "left_anti").select(docs.columns)

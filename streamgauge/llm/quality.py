@@ -82,7 +82,7 @@ def fit_quality(
     chosen = [r for q in (0, 1) for r in usable.filter(F.col("quality") == q).orderBy("place", "doc_id").limit(per_class).collect()]
     spark = docs.sparkSession
     wanted = F.broadcast(spark.createDataFrame([(r["doc_id"],) for r in chosen], "id long"))
-    texts = {r["doc_id"]: r["text"].encode() for r in docs.join(wanted, F.col("doc_id") == F.col("id")).groupBy("doc_id").agg(F.min("text").alias("text")).collect()}
+    texts = {r["doc_id"]: r["text"].encode() for r in docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("id")).groupBy("doc_id").agg(F.min("text").alias("text")).collect()}
     split: dict[int, tuple[list, list]] = {}
     for q in (0, 1):
         own = [texts[r["doc_id"]] for r in chosen if r["quality"] == q]

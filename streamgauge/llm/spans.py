@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamgauge.llm.common import Rolling, binary_rows, slices, stored, text_bytes
 from streamgauge.llm.induced import permuted_prefixes, suffix_array
@@ -213,13 +214,14 @@ def _repeats_in_shards(contexts: DataFrame, length: int) -> DataFrame:
     return dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "doc_id long, start int, run int")
 
 
-def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, carried: tuple[str, ...] = (), whole_characters: bool = False) -> DataFrame:
     """Remove every byte covered by a string of ``length`` bytes that also starts earlier.
 
     Earlier is a smaller doc_id, or a smaller start in the same document; strings
     never cross documents and are judged on the input. Returns ``doc_id``,
-    ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept``
-    (the remaining bytes), a row per row of ``docs``.
+    ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept`` (the
+    remaining bytes) and the columns ``carried``, a row per row of ``docs``. With
+    ``whole_characters`` a UTF-8 character that would lose some bytes loses all.
 
     Each window of ``length`` bytes is dealt by its deciding seed, and only runs
     of windows whose seed stands at several places go on. Of runs that cover equal
@@ -262,6 +264,10 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
             np.add.at(change, np.minimum(begin, stop), 1)
             np.add.at(change, stop, -1)
             gone = np.cumsum(change[:-1]) > 0
+            if whole_characters and len(data):
+                first_byte = (data & 0xC0) != 0x80
+                first_byte[borders[:-1][np.diff(borders) > 0]] = True
+                gone = np.logical_or.reduceat(gone, np.flatnonzero(first_byte))[np.cumsum(first_byte) - 1]
             begins = gone.copy()
             first = np.zeros(len(data) + 1, bool)
             first[borders] = True
@@ -270,9 +276,10 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
             spans = np.concatenate([[0], np.cumsum(begins)])
             kept = borders - total[borders]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(borders)), pa.array(np.diff(total[borders])), pa.array(np.diff(spans[borders])), binary_rows(data[~gone], kept)],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
+                [batch.column("doc_id"), pa.array(np.diff(borders)), pa.array(np.diff(total[borders])), pa.array(np.diff(spans[borders])), binary_rows(data[~gone], kept), *[batch.column(c) for c in carried]],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *carried],
             )
 
-    return docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "marks").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
-
+    rows = docs.select("doc_id", "text", *carried)
+    schema = T.StructType([rows.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType()), *[rows.schema[c] for c in carried]])
+    return rows.join(marks, F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "marks", *carried).mapInArrow(cut, schema)
