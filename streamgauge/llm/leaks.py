@@ -5,6 +5,8 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,13 +26,44 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seeds(df: DataFrame, keep: list[str]) -> DataFrame:
-    """A row for each position ``at`` and mask, with the hash ``seed`` of the tokens that the mask looks at."""
-    n = F.greatest(F.size("tokens") - SPAN + 1, F.lit(0))
-    window = F.arrays_zip(*[F.slice("tokens", i + 1, n).alias(f"t{i}") for i in range(SPAN)])
-    placed = df.withColumn("window", window).select(*keep, F.posexplode("window").alias("at", "w"))
-    masks = [F.xxhash64(F.lit(m), *[F.col(f"w.t{i}") for i in mask]) for m, mask in enumerate(MASKS)]
-    return placed.select(*keep, "at", F.explode(F.array(*masks)).alias("seed"))
+def _seed(mask: int, at: Column) -> Column:
+    """Hash of the tokens that a mask looks at from position ``at`` (from 0) of the token hashes ``codes``."""
+    return F.xxhash64(F.lit(mask), *[F.get("codes", at + i) for i in MASKS[mask]])
+
+
+def _places() -> Column:
+    """All positions at which a whole window starts."""
+    return F.when(F.size("codes") >= SPAN, F.sequence(F.lit(0), F.greatest(F.size("codes") - SPAN, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+
+
+def _seeds(df: DataFrame, keep: list[str], places: Column) -> DataFrame:
+    """A row for each of ``places`` (``at``) and mask, with the ``seed`` there.
+
+    Outer explodes: the others would have Spark test the arrays for emptiness in a
+    filter below, which computes all that leads to them anew for each position.
+    """
+    placed = df.select(*keep, "codes", F.explode_outer(places).alias("at")).filter(F.col("at").isNotNull())
+    return placed.select(*keep, "at", F.explode_outer(F.array(*[_seed(m, F.col("at")) for m in range(len(MASKS))])).alias("seed"))
+
+
+#: A table of 64 * 2 ** SLOT_BITS bits tells most seeds apart that no item has; beyond some million seeds it lets all pass.
+SLOT_BITS = 14
+
+
+def _slot(seed: Column) -> Column:
+    return F.shiftrightunsigned(seed, 64 - SLOT_BITS).cast("int")
+
+
+def _bit(seed: Column) -> Column:
+    return F.shiftrightunsigned(seed, 58 - SLOT_BITS).bitwiseAND(63).cast("int")
+
+
+def _bit_table(seeds: DataFrame) -> DataFrame:
+    """One row with the bits of all seeds, as an array of fixed size."""
+    set_bits = seeds.select(_slot(F.col("seed")).alias("slot"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(seed, {58 - SLOT_BITS}) & 63 as int))").alias("bit"))
+    every = seeds.sparkSession.range(1 << SLOT_BITS).select(F.col("id").cast("int").alias("slot"))
+    full = every.join(set_bits.groupBy("slot").agg(F.bit_or("bit").alias("bits")), "slot", "left").select("slot", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    return full.agg(F.transform(F.array_sort(F.collect_list(F.struct("slot", "bits"))), lambda x: x["bits"]).alias("table"))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -41,8 +74,9 @@ def _small(df: DataFrame) -> DataFrame:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """Documents that hold passages of ``benchmark`` (``item_id``, ``text``), also with some tokens substituted.
 
-    Seeds of both sides are joined; each joined pair names a document, an item and
-    the offset between them. Along that offset, document and item are compared
+    Seeds of both sides are joined; a table of bits of fixed size first drops most
+    positions of a document that no item's seed can meet. Each joined pair names a
+    document, an item and the offset between them. Along that offset, document and item are compared
     token by token. A pair is a leak if in some stretch of ``window`` tokens of the
     item (of a shorter item, all) at least ``share`` are equal. Returns ``doc_id``,
     ``item_id``, ``offset`` and ``matched`` (equal tokens of the best stretch), a row
@@ -55,9 +89,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shar
     of all documents share gathers nowhere; only pairs with the benchmark arise.
     """
     items = benchmark.filter("item_id is not null").select("item_id", tokens(F.col("text")).alias("tokens"))
-    wanted = stored(_seeds(items, ["item_id"]).select("seed", "item_id", F.col("at").alias("item_at")).distinct(), "leak_seeds")
+    codes = F.transform("tokens", lambda t: F.xxhash64(t)).alias("codes")
+    wanted = stored(_seeds(items.select("item_id", codes), ["item_id"], _places()).select("seed", "item_id", F.col("at").alias("item_at")).distinct(), "leak_seeds")
     words = docs.filter("doc_id is not null").select("doc_id", tokens(F.col("text")).alias("tokens"))
-    hits = _seeds(words, ["doc_id"]).join(_small(wanted), "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("offset")).distinct()
+    bits = stored(_bit_table(wanted), "leak_bits")
+
+    def may_hit(at: Column) -> Column:
+        seeds = [_seed(m, at) for m in range(len(MASKS))]
+        return functools.reduce(Column.__or__, [F.getbit(F.get("bits", _slot(x)), _bit(x)) == 1 for x in seeds])
+
+    coded = words.select("doc_id", codes, bits.select("table").scalar().alias("bits"))
+    placed = coded.select("doc_id", "codes", F.filter(_places(), may_hit).alias("places"))
+    hits = _seeds(placed, ["doc_id"], F.col("places")).join(_small(wanted), "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("offset")).distinct()
     hits = stored(hits, "leak_hits")
     near = hits.groupBy("doc_id", "item_id").agg(F.collect_set("offset").alias("offsets"))
     near = stored(near.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "offsets")).alias("near")), "leak_places")
