@@ -162,16 +162,16 @@ def s13(i):
 @query(
     "s14_projection_csv",
     "with " + P.FORECAST + """
-    select cast(row_number() over (order by ds) - 1 as int) as _index, ds, y, round(yhat, 4) as yhat, actual_running_sub,
+    select cast(row_number() over (partition by platform order by ds) - 1 as int) as _index, platform, ds, y, round(yhat, 4) as yhat, actual_running_sub,
            round(predicted_running_sub, 3) as predicted_running_sub
-    from totals where platform = 'A'""",
+    from totals""",
     "channel_daily",
 )
 def s14(i):
     path = scratch_path(i.spark, "projections")
-    rows = P.m23(i).filter("platform = 'A'").drop("platform")
-    index = F.row_number().over(Window.orderBy("ds")) - 1  # calendar weeks of one platform
-    rows.select(index.alias("_index"), *rows.columns).write.option("header", True).csv(path)
+    rows = P.m23(i)
+    index = F.row_number().over(Window.partitionBy("platform").orderBy("ds")) - 1  # calendar weeks of a platform
+    rows.select(index.alias("_index"), *rows.columns).write.partitionBy("platform").option("header", True).csv(path)
     return lookups.read_forecast(i.spark, path)
 
 
@@ -480,12 +480,12 @@ def j11(i):
 
 @query(
     "j12_lateral_json",
-    """select distinct video_id, cast(load_ts as date) as day, livestream_position from minute_viewers""",
+    """select distinct video_id, date_trunc('hour', load_ts) as hour, livestream_position from minute_viewers""",
     "minute_viewers",
 )
 def j12(i):
     rows = vault.unnest_minutes(P.minute_stage(i))
-    return rows.select("video_id", F.to_date("load_ts").alias("day"), "livestream_position")
+    return rows.select("video_id", F.date_trunc("hour", "load_ts").cast("timestamp_ntz").alias("hour"), "livestream_position")
 
 
 @query(

@@ -49,9 +49,9 @@ def video_stage(i: Input) -> DataFrame:
 
 
 def minute_stage(i: Input) -> DataFrame:
-    """One staging row per video and load day with its minutes as a keyed JSON object."""
-    m = i.v("minute_viewers").withColumn("day", F.to_date("load_ts"))
-    newest = latest_per(m, ["video_id", "day", "livestream_position"], "load_ts", ["tie"])
+    """One staging row per video and load hour, several a day, with its minutes as a keyed JSON object."""
+    m = i.v("minute_viewers").withColumn("hour", F.date_trunc("hour", "load_ts"))
+    newest = latest_per(m, ["video_id", "hour", "livestream_position"], "load_ts", ["tie"])
     entry = F.struct(
         F.col("livestream_position").cast("string").alias("k"),
         F.struct(
@@ -60,10 +60,10 @@ def minute_stage(i: Input) -> DataFrame:
             F.col("average_concurrent_viewers").alias("averageConcurrentViewers"),
         ).alias("v"),
     )
-    return newest.groupBy("video_id", "day").agg(
+    return newest.groupBy("video_id", "hour").agg(
         F.to_json(F.map_from_entries(F.collect_list(entry))).alias("minute_metrics"),
         F.max("load_ts").alias("load_ts"),
-    ).drop("day")
+    ).drop("hour")
 
 
 def day_stage(i: Input) -> DataFrame:
@@ -132,15 +132,17 @@ def m2(i):
 
 MINUTE_CTES = """
     with newest as (
-      select *, max(load_ts) over (partition by video_id, cast(load_ts as date)) as day_ts,
-             row_number() over (partition by video_id, cast(load_ts as date), livestream_position
+      select *, max(load_ts) over (partition by video_id, date_trunc('hour', load_ts)) as day_ts,
+             dense_rank() over (partition by video_id, cast(load_ts as date)
+                                order by date_trunc('hour', load_ts) desc) as snapshot,
+             row_number() over (partition by video_id, date_trunc('hour', load_ts), livestream_position
                                 order by load_ts desc, tie desc) as rn from minute_viewers
     ), hashed as (
       select video_id, livestream_position, peak_concurrent_viewers, average_concurrent_viewers, day_ts as load_ts,
              md5(concat_ws('|', cast(livestream_position as varchar),
                  cast(cast(peak_concurrent_viewers as decimal(20,6)) as varchar),
                  cast(cast(average_concurrent_viewers as decimal(20,6)) as varchar))) as hashdiff
-      from newest where rn = 1
+      from newest where rn = 1 and snapshot = 1
     ), versions as (
       select video_id, livestream_position, peak_concurrent_viewers, average_concurrent_viewers,
              max(load_ts) as load_ts, hashdiff
@@ -248,10 +250,10 @@ def m36(i):
 
 
 def minute_reports(i: Input) -> DataFrame:
-    """Per-video minute reports in the columnar form of the API, in load order.
+    """Per-video minute reports in the columnar form of the API, one for each load.
 
-    Each position brings its newest two loads, so a report stays as short as a
-    video is long and still has rows that a later one replaces.
+    The n-th load of a position stands in the n-th report, so a report stays as
+    short as a video is long, and later ones replace its rows.
     """
     names = ["livestreamPosition", "averageConcurrentViewers", "peakConcurrentViewers"]
     row = F.array(
@@ -259,11 +261,11 @@ def minute_reports(i: Input) -> DataFrame:
         F.col("average_concurrent_viewers").cast("string"),
         F.col("peak_concurrent_viewers").cast("string"),
     )
-    loads = Window.partitionBy("video_id", "livestream_position").orderBy(F.desc("load_ts"), F.desc("tie"))
-    kept = i.v("minute_viewers").withColumn("rank", F.row_number().over(loads)).filter("rank <= 2")
+    loads = Window.partitionBy("video_id", "livestream_position").orderBy("load_ts", "tie")
+    ranked = i.v("minute_viewers").withColumn("landed", F.timestamp_seconds(F.row_number().over(loads)))
     ordered = F.array_sort(F.collect_list(F.struct("load_ts", "tie", row.alias("row"))))
     return (
-        kept.groupBy(F.col("video_id").cast("string").alias("video_id"))
+        ranked.groupBy(F.col("video_id").cast("string").alias("video_id"), "landed")
         .agg(F.transform(ordered, lambda r: r["row"]).alias("rows"))
         .withColumn("columnHeaders", F.array(*[F.struct(F.lit(n).alias("name")) for n in names]))
     )

@@ -6,8 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed value: the grammar of durations without years and months.
+DURATION = r"^P(?=[\dT])(\d+W)?(\d+D)?(T(?=\d)(\d+H)?(\d+M)?(\d+(\.\d+)?S)?)?$"
+
+
 def iso_duration_seconds(text: Column) -> Column:
-    """Seconds of an ISO-8601 duration made of days, hours, minutes, seconds."""
+    """Seconds of an ISO-8601 duration made of weeks, days, hours, minutes, seconds; other text is an error."""
 
     def part(pattern: str, seconds: int) -> Column:
         found = F.regexp_extract(text, pattern, 1).try_cast("double")
@@ -20,7 +24,8 @@ def iso_duration_seconds(text: Column) -> Column:
         + part(r"T(?:\d+H)?(\d+)M", 60)
         + part(r"T(?:\d+[HM])*([\d.]+)S", 1)
     )
-    return F.when(text.isNotNull(), total)
+    wrong = F.raise_error(F.concat(F.lit("not a duration: "), text)).cast("double")
+    return F.when(text.rlike(DURATION), total).when(text.isNotNull(), wrong)
 
 
 def week_start(day: Column) -> Column:

@@ -67,11 +67,10 @@ def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
 def lookback(rows: DataFrame, loaded: DataFrame | None, date: str, today, days: int = 7, origin=None) -> DataFrame:
     """Rows from ``days`` before the newest loaded date up to ``today``.
 
-    Without loaded rows, or on a full reload, the window starts at ``origin``.
+    Without loaded rows, or on a full reload, the window starts at ``origin``;
+    without an origin either it has no start.
     """
-    end = F.lit(today).cast("date")
-    if loaded is None:
-        start = F.lit(origin).cast("date")
-    else:
-        start = loaded.select(F.date_sub(F.max(date), days)).scalar()
-    return rows.filter(F.col(date).between(start, end))
+    start, end = F.lit(origin).cast("date"), F.lit(today).cast("date")
+    if loaded is not None:
+        start = F.coalesce(loaded.select(F.date_sub(F.max(date), days)).scalar(), start)
+    return rows.filter((start.isNull() | (F.col(date) >= start)) & (F.col(date) <= end))

@@ -93,18 +93,6 @@ def type_details(texts: DataFrame) -> DataFrame:
     ).drop("video_duration")
 
 
-def since_target(stage: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Staging rows from the target's newest load day on.
-
-    Valid where load times only grow, as ``load_stage`` assigns them: what was
-    staged before has been compared with the target already.
-    """
-    if target is None:
-        return stage
-    newest = target.select(F.max("load_ts")).scalar()
-    return stage.filter(newest.isNull() | (F.col("load_ts") >= F.date_trunc("day", newest)))
-
-
 def _versions(daily: DataFrame, key: str, hashed: Sequence[str], tie: Sequence[str], detect: str) -> DataFrame:
     if detect == "hash":
         return hash_versions(daily, key, hashed, tie=tie, daily=False)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,8 +14,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-_local_scratch: dict[str, str] = {}
-
 
 def build_session(app_name: str = "streamgauge", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC, ANSI casts and AQE; ``conf`` overrides (dots as ``__``)."""
@@ -33,18 +29,10 @@ def build_session(app_name: str = "streamgauge", master: str | None = None, **co
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine;
-    on a cluster the executors could not see it.
+    Where that is unset, the folder lies in the warehouse, which executors share, too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _local_scratch:
-            _local_scratch[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        base = _local_scratch[app]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df, name: str):

@@ -1,4 +1,8 @@
-"""Landed API responses, one JSON document per line (or per file)."""
+"""Landed API responses, one JSON document per line (or per file).
+
+Every response carries when it ``landed``: its own field of that name, or else
+its file's time. Of several values for one key the latest landed counts.
+"""
 
 from __future__ import annotations
 
@@ -6,13 +10,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from streamgauge.schemas import API_ITEMS, API_PAGE, API_REPORT
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType, per_file: bool = False) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", per_file).json(path)
+    rows = spark.read.schema(StructType([*schema.fields, StructField("landed", TimestampType())])).option("multiLine", per_file).json(path)
+    return rows.withColumn("landed", F.coalesce("landed", F.col("_metadata.file_modification_time")))
+
+
+def _landed(df: DataFrame) -> list[str]:
+    return ["landed"] if "landed" in df.columns else []
 
 
 def read_items(spark: SparkSession, path: str, per_file: bool = False) -> DataFrame:
@@ -32,17 +41,19 @@ def read_pages(spark: SparkSession, path: str, per_file: bool = False) -> DataFr
 
 
 def api_items(responses: DataFrame) -> DataFrame:
-    """List responses -> one row per item: its id and its full JSON."""
-    items = responses.select(F.explode("items").alias("video_data"))
-    return items.select(F.get_json_object("video_data", "$.id").alias("video_id"), "video_data")
+    """List responses -> one row per item: its id, its full JSON and, if known, when it landed."""
+    landed = _landed(responses)
+    items = responses.select(*landed, F.explode("items").alias("video_data"))
+    return items.select(F.get_json_object("video_data", "$.id").alias("video_id"), "video_data", *landed)
 
 
 def report_records(reports: DataFrame, key: str, ids: Sequence[str] = ()) -> DataFrame:
-    """Columnar reports -> one ``record`` map per key; the last row of a key wins."""
+    """Columnar reports -> one ``record`` map per key; the last row of the report landed last wins."""
+    landed = _landed(reports)
     rows = reports.select(
-        *ids, F.col("columnHeaders.name").alias("_names"), F.posexplode("rows").alias("_pos", "_row")
+        *ids, *landed, F.col("columnHeaders.name").alias("_names"), F.posexplode("rows").alias("_pos", "_row")
     )
-    records = rows.select(*ids, "_pos", F.map_from_arrays("_names", "_row").alias("_record"))
+    records = rows.select(*ids, F.struct(*landed, "_pos").alias("_pos"), F.map_from_arrays("_names", "_row").alias("_record"))
     return (
         records.withColumn(key, F.col("_record")[key])
         .groupBy(*ids, key)
@@ -79,12 +90,14 @@ def minute_feed(reports: DataFrame) -> DataFrame:
 
 
 def first_row_values(reports: DataFrame) -> DataFrame:
-    """First report row -> ``(video_id, estimatedMinutesWatched)``; empty reports add nothing."""
+    """First report row -> ``(video_id, estimatedMinutesWatched)``, the latest landed; empty reports add nothing."""
     first = F.get("rows", F.lit(0))
-    return reports.filter(first.isNotNull()).select(
+    values = reports.filter(first.isNotNull()).select(
         F.get(first, F.lit(0)).alias("video_id"),
-        F.get(first, F.lit(1)).cast("double").alias("estimatedMinutesWatched"),
+        F.get(first, F.lit(1)).cast("double").alias("value"),
+        *_landed(reports),
     )
+    return values.groupBy("video_id").agg(F.max_by("value", F.struct(*_landed(reports), "value")).alias("estimatedMinutesWatched"))
 
 
 def page_ids(pages: DataFrame) -> DataFrame:
@@ -94,9 +107,10 @@ def page_ids(pages: DataFrame) -> DataFrame:
 
 
 def combine_feeds(videos: DataFrame, minutes: DataFrame, watched: DataFrame) -> DataFrame:
-    """Three feeds -> one staging row per video; videos without minutes or time stay."""
+    """Three feeds -> one staging row per video, its latest item; videos without minutes or time stay."""
+    newest = videos.groupBy("video_id").agg(F.max_by("video_data", F.struct(*_landed(videos), "video_data")).alias("video_data"))
     return (
-        videos.join(minutes, "video_id", "left")
+        newest.join(minutes, "video_id", "left")
         .join(watched, "video_id", "left")
         .select("video_id", "video_data", "minute_metrics", "estimatedMinutesWatched")
     )

@@ -55,9 +55,15 @@ def write_snapshot(df: DataFrame, path: str) -> None:
 
 
 def append_rows(df: DataFrame, path: str) -> None:
-    """Add rows to the newest version, or start the first one."""
-    version = _newest_version(df.sparkSession, path) or 0
-    df.write.mode("append").parquet(f"{path}/v={version}")
+    """Add rows to the newest version, or start the first one.
+
+    A first load overwrites what one that failed before its marker has left.
+    """
+    version = _newest_version(df.sparkSession, path)
+    if version is None:
+        write_snapshot(df, path)
+    else:
+        df.write.mode("append").parquet(f"{path}/v={version}")
 
 
 def read_stage(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -97,10 +103,8 @@ def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
 
 
 def run_query(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:
-    """Result of SQL text; ``tables`` are visible under their names."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(query)
+    """Result of SQL text; ``{name}`` in it stands for the table of that name."""
+    return spark.sql(query, **tables)
 
 
 def publish_layer(spark: SparkSession, layer: str, tables: Mapping[str, str]) -> None:

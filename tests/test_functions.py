@@ -18,6 +18,12 @@ def test_iso_durations(spark):
     assert got == [3723, 45, 93600, 0, 300, 3605, 604800, 1.5, None]
 
 
+@pytest.mark.parametrize("bad", ["garbage", "P1Y", "1:02:03", "PT", "P", "PT5", ""])
+def test_other_durations_are_errors(spark, bad):
+    with pytest.raises(Exception, match="not a duration"):
+        values(spark, [(bad,)], "d string", times.iso_duration_seconds(F.col("d")))
+
+
 def test_clean_title(spark):
     raw = ["SESSION 3 | Topic | x", "Series A", "[Luton] T - live", "T | x", "session 9|  a ", "plain", None]
     got = values(spark, [(t,) for t in raw], "t string", text.clean_title(F.col("t")))

@@ -110,6 +110,8 @@ def test_lookback(spark):
     loaded = rows.filter(F.col("date") <= "2024-01-15")
     assert [r.date.day for r in loads.lookback(rows, loaded, "date", "2024-01-20").orderBy("date").collect()] == list(range(8, 21))
     assert loads.lookback(rows, None, "date", "2024-01-03", origin="2022-09-16").count() == 3
+    assert loads.lookback(rows, loaded.limit(0), "date", "2024-01-03", origin="2022-09-16").count() == 3
+    assert loads.lookback(rows, loaded.limit(0), "date", "2024-01-03").count() == 3
 
 
 def test_stage_loads(spark, tmp_path):
@@ -170,3 +172,30 @@ def test_names(spark, tmp_path):
     assert names.count() == 3
     df = spark.createDataFrame([("Ann",), ("Cy",), ("Zed",)], "speaker string")
     assert {r.speaker for r in lookups.canonical_names(df, names, "speaker").collect()} == {"Ann Bee", "Cy Dee", "Zed"}
+
+
+def test_later_report_wins_though_shorter(spark):
+    names = [("day",), ("views",)]
+    old = (names, [["2024-01-02", "1"], ["2024-01-03", "2"], ["2024-01-01", "10"]], "2024-01-05 00:00:00")
+    new = (names, [["2024-01-01", "99"]], "2024-01-06 00:00:00")
+    reports = spark.createDataFrame([new, old], schemas.API_REPORT.simpleString()[7:-1] + ", landed: string").withColumn("landed", F.col("landed").cast("timestamp"))
+    got = {str(r.date): json.loads(r.date_metrics)["views"] for r in landing.day_feed(reports).collect()}
+    assert got == {"2024-01-01": "99", "2024-01-02": "1", "2024-01-03": "2"}
+
+
+def test_feeds_landed_twice_give_one_row(spark):
+    videos = spark.createDataFrame([("a", "old", "2024-01-01"), ("a", "new", "2024-01-02")], "video_id string, video_data string, landed string")
+    watched = spark.createDataFrame([([], [["a", "5"]], "2"), ([], [["a", "3"]], "3")], "columnHeaders array<struct<name: string>>, rows array<array<string>>, landed string")
+    minutes = spark.createDataFrame([("a", "{}")], "video_id string, minute_metrics string")
+    got = landing.combine_feeds(videos, minutes, landing.first_row_values(watched)).collect()
+    assert [tuple(r) for r in got] == [("a", "new", "{}", 3.0)]
+
+
+def test_first_append_after_a_failed_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(f"{path}/v=0")
+    (tmp_path / "t" / "v=0" / "_SUCCESS").rename(tmp_path / "t" / "v=0" / "_left")
+    tables.append_rows(spark.range(3), path)
+    assert tables.read_table(spark, path).count() == 3
+    tables.append_rows(spark.range(3, 5), path)
+    assert tables.read_table(spark, path).count() == 5
