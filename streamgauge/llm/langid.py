@@ -141,7 +141,7 @@ def fit_languages(docs: DataFrame, train) -> LanguageModel:
     for t in totals[:3]:
         t[SLOTS] = 0
         share = t / np.maximum(t.sum(axis=0), 1) + FLOOR
-        scores.append((np.log(share) - np.log(share.mean(axis=1, keepdims=True))).astype(np.float32))
+        scores.append((np.log(share) - np.log(share.sum(axis=1, keepdims=True) / max(len(langs), 1))).astype(np.float32))
     script = totals[3]
     allowed = script >= SCRIPT_SHARE * np.maximum(script.sum(axis=0), 1)
     words = script.sum(axis=0)

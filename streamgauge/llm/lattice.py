@@ -82,7 +82,8 @@ class Pieces:
 
 def _log_sum(rows: np.ndarray) -> np.ndarray:
     top = rows.max(axis=0)
-    return top + np.log(np.exp(rows - np.where(np.isfinite(top), top, 0)).sum(axis=0))
+    with np.errstate(divide="ignore"):
+        return top + np.log(np.exp(rows - np.where(np.isfinite(top), top, 0)).sum(axis=0))
 
 
 def word_log_probs(words: list[bytes], pieces: Pieces, scores: np.ndarray, counts: np.ndarray | None = None, expected: np.ndarray | None = None) -> np.ndarray:
@@ -215,10 +216,8 @@ def score_texts(docs: DataFrame, train, vocabulary: str, rounds: int = 2) -> Dat
     pieces, start = read_pieces(vocabulary)
     scores = _learned(words, distinct, pieces, start, rounds if tokens > texts else 0)
     once, twice = (sum(r["n"] for r in levels if r["level"] == 16 * k) for k in (0, 1))
-    discount = once / (once + 2 * twice) if once else 0.0
-    spelled = math.log10(discount * distinct / tokens) if discount and tokens else (0.0 if not tokens else -math.log10(tokens + 1))
-    if discount and not twice:
-        discount, spelled = 0.5, math.log10(0.5 * distinct / tokens)
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+    spelled = math.log10(discount * distinct / tokens) if tokens else 0.0
     frequent = words.filter(step >= lowest).toArrow() if lowest is not None else None
     head = frequent.column("word").to_pylist() if frequent is not None else []
     head_logs = spelled + word_log_probs(head, Pieces(pieces), scores) / math.log(10)
@@ -260,7 +259,7 @@ def score_texts(docs: DataFrame, train, vocabulary: str, rounds: int = 2) -> Dat
             rare_keys, rare_logs = rare_keys[by], rare_logs[by]
             for batch, rows_n, h, r, n, at, known, tail in parts:
                 spelt = rare_logs[np.searchsorted(rare_keys, h[tail])] if len(tail) else np.zeros(0)
-                total = lambda w, use=slice(None): np.bincount(r[use], w[use] if isinstance(w, np.ndarray) else w, rows_n)
+                total = lambda w: np.bincount(r, w, rows_n).astype(float)
                 edges = np.concatenate([[0], np.cumsum(np.bincount(r[tail], minlength=rows_n))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
