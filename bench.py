@@ -36,6 +36,10 @@ HEADLINE = [
     "m33_cluster_median_curve",
     "m37_minute_content_report",
     "l5_delete_insert",
+    "m10_shift_bands",
+    "m32_curve_clusters",
+    "g1_embed_text",
+    "g2_series_forecast",
 ]
 
 
