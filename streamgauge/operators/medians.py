@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamgauge.operators.joins import spread_join
+from streamgauge.session import materialize
 
 ACCURACY = 10000
 MARGIN = 0.001
+RANGES = 1000
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -18,8 +20,11 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> Da
 
     A quantile sketch of fixed size brackets the median within 0.1 % of the
     ranks on each side, ten times its error bound. Rows below the bracket
-    shrink to one count, rows above it are dropped, and only the rest is
-    ordered. Without ``keys`` the result is one row.
+    shrink to one count and rows above it are dropped. A second sketch cuts the
+    rest into ``RANGES`` ranges of values; their counts tell which one or two hold
+    the middle ranks, and only those are ordered: some 2 rows in a million meet in
+    one task. The bracket is stored once while the plan is built. Without ``keys``
+    the result is one row.
     """
     group = list(keys) or ["_all"]
     rows = df.filter(F.col(value).isNotNull()).withColumn("_x", F.col(value).cast("double"))
@@ -39,22 +44,25 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> Da
         .groupBy(*group, "_x")
         .agg(F.sum("_n").alias("_n"), F.first("_total").alias("_total"))
     )
-    upto = F.sum("_n").over(
-        Window.partitionBy(*group).orderBy(F.col("_x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    )
     first_rank = F.floor((F.col("_total") + 1) / 2)
     second_rank = F.floor(F.col("_total") / 2) + 1
 
-    def holds(rank):
-        return (F.col("_upto") - F.col("_n") < rank) & (rank <= F.col("_upto"))
+    def holds(rank, count):
+        return (F.col("_before") < rank) & (rank <= F.col("_before") + F.col(count))
 
-    found = (
-        near.withColumn("_upto", upto)
-        .groupBy(*group)
-        .agg(
-            F.max(F.when(holds(first_rank), F.col("_x"))).alias("_a"),
-            F.max(F.when(holds(second_rank), F.col("_x"))).alias("_b"),
-        )
+    near = materialize(near, "median_bracket")
+    cuts = near.filter("_x is not null").groupBy(*group).agg(
+        F.percentile_approx("_x", [i / RANGES for i in range(1, RANGES)], ACCURACY).alias("_cuts")
+    )
+    place = F.when(F.col("_x").isNull(), -1).otherwise(F.size(F.filter("_cuts", lambda c: c < F.col("_x"))))
+    ranged = near.join(cuts, group, "left").select(*group, "_x", "_n", "_total", place.alias("_range"))
+    ranges = ranged.groupBy(*group, "_range").agg(F.sum("_n").alias("_in"), F.first("_total").alias("_total"))
+    ranges = ranges.withColumn("_before", F.sum("_in").over(Window.partitionBy(*group).orderBy("_range")) - F.col("_in"))
+    middle = ranges.filter(holds(first_rank, "_in") | holds(second_rank, "_in")).select(*group, "_range", F.col("_before").alias("_start"))
+    inside = Window.partitionBy(*group, "_range").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = ranged.join(middle, [*group, "_range"]).withColumn("_before", F.col("_start") + F.sum("_n").over(inside) - F.col("_n"))
+    found = ordered.groupBy(*group).agg(
+        F.max(F.when(holds(first_rank, "_n"), F.col("_x"))).alias("_a"), F.max(F.when(holds(second_rank, "_n"), F.col("_x"))).alias("_b")
     )
     missed = F.raise_error(F.lit("median outside its bracket")).cast("double")
     return found.select(
