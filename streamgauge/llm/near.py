@@ -84,7 +84,7 @@ def _unpacked(column: pa.Array) -> np.ndarray:
 
 
 def chunk_keys(sig: np.ndarray, radius: int = RADIUS) -> np.ndarray:
-    """Index keys of signatures, a column for each chunk and each symbol of it left out.
+    """Index keys of signatures, a column for each chunk and each symbol of it left out; the low bits name that symbol.
 
     ``radius // 2 + 1`` chunks: of two signatures within the radius, at least one
     chunk has at most one error, and leaving that symbol out gives equal keys.
@@ -99,10 +99,20 @@ def chunk_keys(sig: np.ndarray, radius: int = RADIUS) -> np.ndarray:
                 for i in range(a, b):
                     if i != left_out:
                         key = mixed(key, 31) + wide[:, i]
-                keys.append(mixed(key, 32))
+                keys.append(mixed(key, 32) & ~np.uint64(INDEXED - 1) | np.uint64(left_out))
     return np.stack(keys, axis=1)
 
 
+def first_slot(a: np.ndarray, b: np.ndarray, radius: int = RADIUS) -> np.ndarray:
+    """The first symbol that, left out, gives both signatures equal keys; a pair is compared in that bucket only."""
+    edges = np.linspace(0, a.shape[1], radius // 2 + 2).astype(int)
+    differs = a != b
+    errors = np.add.reduceat(differs, edges[:-1], axis=1, dtype=np.int32)
+    chunk = (errors <= 1).argmax(axis=1)
+    own = differs & (np.repeat(np.arange(len(edges) - 1), np.diff(edges)) == chunk[:, None])
+    return np.where(own.any(axis=1), own.argmax(axis=1), edges[chunk])
+
+
 def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether signatures lie within both radii."""
     out = (a[:, :INDEXED] != b[:, :INDEXED]).sum(axis=1) <= RADIUS
@@ -140,13 +150,6 @@ def _within_radius(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of ``pairs`` whose full sets share enough."""
 
-    def sets(batches):
-        for batch in slices(batches, "text"):
-            data, borders = text_bytes(batch.column("text"))
-            rows, hashes = shingles(data, borders, words)
-            edges = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=batch.num_rows))])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), binary_rows(hashes, edges)], ["doc_id", "shared"])
-
     def compare(batches):
         for batch in batches:
             a, b = batch.column("set_a"), batch.column("set_b")
@@ -162,17 +165,20 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
 
     pairs = stored(pairs, "near_pairs")
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    full = stored(docs.select("doc_id", "text").join(needed, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(sets, "doc_id long, shared binary"), "near_sets")
-    x = full.select(F.col("doc_id").alias("a"), F.col("shared").alias("set_a"))
-    y = full.select(F.col("doc_id").alias("b"), F.col("shared").alias("set_b"))
+    full = _sets(docs, needed, words)
+    x = full.select(F.col("doc_id").alias("a"), F.col("held").alias("set_a"))
+    y = full.select(F.col("doc_id").alias("b"), F.col("held").alias("set_b"))
     return stored(pairs.join(x, "a").join(y, "b").mapInArrow(compare, "a long, b long").distinct(), "near_links")
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs of one bucket within the radius that lie in different components.
+def _across(members: DataFrame, percent: int = 0) -> DataFrame:
+    """Pairs of one bucket within the radius that lie in different components, each once.
 
-    A bucket is cut into blocks of about ``BLOCK`` rows and each pair of blocks is
-    a tile of its own, so the largest bucket is spread over many tasks.
+    ``members`` has ``n`` shingles and ``shared`` of them that other open rows hold: a
+    pair shares at most the lesser ``shared``, which rules most pairs of heavily
+    edited copies out. A bucket is cut into blocks of about ``BLOCK`` rows and each
+    pair of blocks is a tile of its own, so the largest bucket is spread over many
+    tasks.
     """
 
     def run(batches):
@@ -191,7 +197,7 @@ def _across(members: DataFrame) -> DataFrame:
     def compare(rows):
         if rows.num_rows < 2:
             return
-        tile, rep, component, block, cut = (rows.column(c).to_numpy() for c in ("tile", "rep", "component", "block", "mixed"))
+        tile, rep, component, block, cut, slot, n, shared = (rows.column(c).to_numpy() for c in ("tile", "rep", "component", "block", "mixed", "slot", "n", "shared"))
         sig = _unpacked(rows.column("sig"))
         start = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
         end = np.repeat(np.concatenate([start[1:], [len(tile)]]), np.diff(np.concatenate([start, [len(tile)]])))
@@ -199,12 +205,15 @@ def _across(members: DataFrame) -> DataFrame:
         done, total = 0, np.concatenate([[0], np.cumsum(later)])
         while done < len(tile):
             stop = max(done + 1, int(np.searchsorted(total, total[done] + 50_000, "right")) - 1)
-            n = later[done:stop]
-            left = np.repeat(np.arange(done, stop), n)
-            right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
-            use = (component[left] != component[right]) & ((block[left] != block[right]) == cut[left])
+            times = later[done:stop]
+            left = np.repeat(np.arange(done, stop), times)
+            right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(times) - times, times)
+            most = np.minimum(shared[left], shared[right])
+            use = (component[left] != component[right]) & ((block[left] != block[right]) == cut[left]) & (100 * most >= percent * (n[left] + n[right] - most))
             left, right = left[use], right[use]
             near = _close(sig[left], sig[right])
+            left, right = left[near], right[near]
+            near = first_slot(sig[left, :INDEXED], sig[right, :INDEXED]) == slot[left]
             a, b = rep[left[near]], rep[right[near]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
             done = stop
@@ -214,9 +223,35 @@ def _across(members: DataFrame) -> DataFrame:
     tiled = (
         members.withColumn("blocks", blocks).withColumn("block", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "rep", "component", "block", (F.col("block") != F.col("other")).alias("mixed"), "sig")
+        .select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "rep", "component", "block", (F.col("block") != F.col("other")).alias("mixed"), F.col("key").bitwiseAND(INDEXED - 1).cast("int").alias("slot"), "n", "shared", "sig")
     )
-    return tiled.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long").distinct()
+    return tiled.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long")
+
+
+def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """``doc_id`` and the shingle hashes ``held`` of the documents named by ``ids`` (``id``)."""
+
+    def run(batches):
+        for batch in slices(batches, "text"):
+            data, borders = text_bytes(batch.column("text"))
+            rows, hashes = shingles(data, borders, words)
+            edges = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=batch.num_rows))])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), binary_rows(hashes, edges)], ["doc_id", "held"])
+
+    return stored(docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(run, "doc_id long, held binary"), "near_sets")
+
+
+def _shared_counts(sets: DataFrame) -> DataFrame:
+    """``rep`` and how many of its shingles other rows of ``sets`` hold, too."""
+
+    def run(batches):
+        for batch in slices(batches, "held"):
+            data, borders = text_bytes(batch.column("held"))
+            ids = np.repeat(batch.column("doc_id").to_numpy(), np.diff(borders) // 8)
+            yield pa.RecordBatch.from_arrays([pa.array(data.view(np.int64)), pa.array(ids)], ["shingle", "rep"])
+
+    each = sets.mapInArrow(run, "shingle long, rep long").groupBy("shingle").agg(F.min("rep").alias("rep"), F.max("rep").alias("last"))
+    return each.filter("rep = last").groupBy("rep").agg(F.count("*").alias("alone"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -275,8 +310,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # What is left: pairs across components, in tiles.
     rows = placed(found)
     several = rows.groupBy("key").agg((F.min("component") != F.max("component")).alias("several")).filter("several").select("key")
-    open_rows = rows.join(several, "key").join(reps.select("rep", "sig"), "rep")
-    across = stored(_across(open_rows), "near_across").join(tried, ["a", "b"], "left_anti")
+    open_rows = stored(rows.join(several, "key"), "near_open")
+    alone = _shared_counts(_sets(docs, open_rows.select(F.col("rep").alias("id")).distinct(), words))
+    known = reps.join(alone, "rep", "left").select("rep", "sig", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    across = stored(_across(open_rows.join(known, "rep"), percent), "near_across").join(tried, ["a", "b"], "left_anti")
     more = _confirmed(_within_radius(across, reps, percent), docs, words, percent)
     joined = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
