@@ -13,12 +13,15 @@ from streamgauge.llm.induced import permuted_prefixes, suffix_array
 
 #: Bytes of a seed: the smallest hash among the seeds of a window decides where the window is compared.
 SEED = 32
-#: Seeds met more often than this are compared window by window, dealt by the window itself.
-FREQUENT = 4096
-SHARD_BYTES = 4 << 20
+#: Runs of one seed that meet in one task to find equal ones; more meet in parts first.
+TOGETHER = 4096
+#: Different runs of one seed that one suffix array takes, up to 5 MB; seeds with more are compared window by window.
+FREQUENT = 32768
 
 #: What becomes of a run of windows: it stands earlier too; its bytes are compared; its windows are, one by one.
 REPEATED, COMPARED, FREQUENT_SEED = 0, 1, 2
+#: Further, the first of its content in one part of a seed's runs.
+IN_PART = 3
 
 
 def _window_runs(known: Rolling, borders: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -96,32 +99,54 @@ def _in_groups(batches, column: str):
         yield held
 
 
+_RUN = "h long, d long, doc_id long, start int, run int, kind int"
+
+
+def _equal_runs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """For rows sorted by seed and digest: which are the first of their content, which stand later than it."""
+    h, d, doc, start = (rows.column(c).to_numpy() for c in ("h", "d", "doc_id", "start"))
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])])
+    first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+    # A repeated row of the table is the same place, not a later one.
+    return new, (doc != doc[first]) | (start != start[first])
+
+
+def _with_kind(rows: pa.Table, kind: np.ndarray, keep: np.ndarray):
+    out = rows.select(["h", "d", "doc_id", "start", "run"]).append_column("kind", pa.array(kind.astype(np.int32)))
+    return out.filter(pa.array(keep)).to_batches()
+
+
 def _sorted_out(runs: DataFrame) -> DataFrame:
     """Each run's ``kind``; runs that no other can equal, even in part, are left out.
 
     Runs of a seed with equal digests are equal: all but the first are repeated.
-    The first ones are compared with each other unless there is just one. Runs of
-    frequent seeds are passed on, dealt by themselves.
+    The first ones are compared with each other unless there is just one. Runs of a
+    seed with very many are dealt in parts, and the first ones of each part meet
+    once more.
     """
 
-    def run(batches):
+    def once(batches):
         for rows in _in_groups(batches, "h"):
-            h, d, n, doc, start = (rows.column(c).to_numpy() for c in ("h", "d", "n", "doc_id", "start"))
-            new_h = np.concatenate([[True], h[1:] != h[:-1]])
-            new = new_h | np.concatenate([[True], d[1:] != d[:-1]])
-            first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-            # A repeated row of the table is the same place, not a later one.
-            later = (doc != doc[first]) | (start != start[first])
-            seeds = np.cumsum(new_h) - 1
+            h, parted = rows.column("h").to_numpy(), rows.column("n").to_numpy() > TOGETHER
+            new, later = _equal_runs(rows)
+            seeds = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])) - 1
             several = np.bincount(seeds, new)[seeds] > 1
-            kind = np.where(later, REPEATED, COMPARED)
-            kind[n > FREQUENT] = FREQUENT_SEED
-            keep = pa.array((n > FREQUENT) | later | (new & several))
-            yield from rows.select(["h", "doc_id", "start", "run"]).append_column("kind", pa.array(kind.astype(np.int32))).filter(keep).to_batches()
+            yield from _with_kind(rows, np.where(later, REPEATED, np.where(parted, IN_PART, COMPARED)), later | (new & (several | parted)))
+
+    def again(batches):
+        for rows in _in_groups(batches, "d"):
+            new, later = _equal_runs(rows)
+            yield from _with_kind(rows, np.where(later, REPEATED, COMPARED), later | new)
 
-    part = F.when(F.col("n") > FREQUENT, F.xxhash64("doc_id", "start")).otherwise(F.lit(0))
+    part = F.when(F.col("n") > TOGETHER, F.pmod(F.xxhash64("doc_id", "start"), F.ceil(F.col("n") / TOGETHER))).otherwise(F.lit(0))
     dealt = runs.withColumn("part", part).repartition("h", "part").sortWithinPartitions("h", "d", "doc_id", "start")
-    return dealt.select("h", "d", "n", "doc_id", "start", "run").mapInArrow(run, "h long, doc_id long, start int, run int, kind int")
+    met = stored(dealt.select("h", "d", "n", "doc_id", "start", "run").mapInArrow(once, _RUN), "span_runs")
+    dealt = met.filter(F.col("kind") == IN_PART).repartition("d").sortWithinPartitions("d", "h", "doc_id", "start")
+    parted = stored(dealt.mapInArrow(again, _RUN), "span_parted")
+    counts = parted.filter(F.col("kind") == COMPARED).groupBy("h").agg(F.count("*").alias("m"))
+    kind = F.when(F.col("kind") == REPEATED, F.lit(REPEATED)).when(F.col("m") > FREQUENT, F.lit(FREQUENT_SEED)).otherwise(F.lit(COMPARED))
+    sorted_out = parted.join(counts, "h", "left").filter((F.col("kind") == REPEATED) | (F.col("m") > 1)).withColumn("kind", kind).drop("m")
+    return met.filter(F.col("kind") != IN_PART).unionByName(stored(sorted_out, "span_sorted"))
 
 
 def _bytes_around(rows: DataFrame, length: int) -> DataFrame:
@@ -174,16 +199,14 @@ def _repeated_windows(windows: DataFrame) -> DataFrame:
 
 
 def _repeats_in_shards(contexts: DataFrame, length: int) -> DataFrame:
-    """Runs of windows that stand earlier in another context of the same shard: ``doc_id``, ``start``, ``run``."""
-    total = contexts.agg(F.sum(F.octet_length("context"))).first()[0] or 0
-    shards = int(total) // SHARD_BYTES + 1
+    """Runs of windows that stand earlier in another context of their shard: ``doc_id``, ``start``, ``run``.
 
+    A shard is one Arrow batch of contexts, filled up to the end of its last seed:
+    equal windows have equal seeds, so they share a shard.
+    """
     def run(batches):
-        for rows in _in_groups(batches, "shard"):
-            shard = rows.column("shard").to_numpy()
-            edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
-            for a, b in zip(edges[:-1], edges[1:]):
-                yield repeats(rows.slice(a, b - a))
+        for rows in _in_groups(batches, "h"):
+            yield repeats(rows)
 
     def repeats(rows):
         doc, start, size = (rows.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "start", "run"))
@@ -199,19 +222,20 @@ def _repeats_in_shards(contexts: DataFrame, length: int) -> DataFrame:
         new = common[order] < length
         new[0] = True
         who, where = doc[row], start[row] + inner
-        rank = np.empty(len(row), np.int64)
         by = np.lexsort((where, who))
-        rank[by] = np.arange(len(row))
+        own = np.concatenate([[True], (who[by][1:] != who[by][:-1]) | (where[by][1:] != where[by][:-1])])
+        rank = np.empty(len(row), np.int64)
+        rank[by] = np.cumsum(own) - 1
         least = np.minimum.reduceat(rank[order], np.flatnonzero(new))[np.cumsum(new) - 1]
-        later = np.sort(rank[order][rank[order] != least])
-        who, where = who[by[later]], where[by[later]]
+        later = np.unique(rank[order][rank[order] != least])
+        who, where = who[by[own]][later], where[by[own]][later]
         joined = np.flatnonzero(np.concatenate([[True], (who[1:] != who[:-1]) | (where[1:] != where[:-1] + 1)])) if len(who) else np.zeros(0, np.int64)
         return pa.RecordBatch.from_arrays(
             [pa.array(who[joined]), pa.array(where[joined].astype(np.int32)), pa.array(np.diff(np.concatenate([joined, [len(who)]])).astype(np.int32))], ["doc_id", "start", "run"]
         )
 
-    dealt = contexts.select(F.pmod(F.xxhash64("h"), F.lit(shards)).alias("shard"), "doc_id", "start", "run", "context")
-    return dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "doc_id long, start int, run int")
+    dealt = contexts.select("h", "doc_id", "start", "run", "context")
+    return dealt.repartition("h").sortWithinPartitions("h").mapInArrow(run, "doc_id long, start int, run int")
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, carried: tuple[str, ...] = (), whole_characters: bool = False) -> DataFrame:
@@ -240,7 +264,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, carried: tuple[str, ...]
     equal 64-bit seeds.
     """
     counted = stored(_seeds(docs, length).groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "span_seeds")
-    runs = stored(_sorted_out(_seeds(docs, length).join(counted.hint("shuffle_hash"), "h")), "span_runs")
+    runs = _sorted_out(_seeds(docs, length).join(counted.hint("shuffle_hash"), "h"))
     places = runs.filter(F.col("kind") != REPEATED).groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("h", "start", "run", "kind")).alias("p"))
     rows = docs.select("doc_id", "text").join(places, F.col("doc_id") == F.col("id")).select("doc_id", "text", *[F.col(f"p.{c}").alias(c) for c in ("h", "start", "run", "kind")])
     around = stored(_bytes_around(rows, length), "span_bytes")
