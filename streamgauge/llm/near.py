@@ -17,6 +17,10 @@ INDEXED, RADIUS = 64, 27
 SYMBOLS, WHOLE_RADIUS = 256, 80
 #: Rows of a bucket that are held against each other in one go.
 BLOCK = 512
+#: Rows of a bucket from which on it is worth counting what its texts share.
+CROWD = 32
+#: Most ids that are sent to all tasks, some 8 MB.
+MOST_BROADCAST = 1 << 19
 
 _FACTORS = mixed(np.arange(SYMBOLS, dtype=np.uint64), 21) | np.uint64(1)
 _MASKS = mixed(np.arange(SYMBOLS, dtype=np.uint64), 22)
@@ -238,6 +242,8 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             edges = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=batch.num_rows))])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), binary_rows(hashes, edges)], ["doc_id", "held"])
 
+    ids = stored(ids, "near_ids")
+    ids = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
     return stored(docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(run, "doc_id long, held binary"), "near_sets")
 
 
@@ -263,12 +269,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     Documents with equal sets become one representative. Signatures of
     representatives are cut into chunks; each chunk, with each of its symbols left
     out in turn, is an index key, so every two signatures within the radius share
-    a key. First each bucket is held against its smallest id only, and what full
-    sets confirm is joined to components: a bucket of a thousand copies needs a
-    thousand comparisons. Where a bucket still holds several components, its rows are
-    held against three more of its rows. Then only buckets that hold several
-    components even so are compared pair by pair, in tiles, and just across
-    components. So no link that
+    a key. First each bucket is held against one row only, the one that shares most
+    keys, and what full sets confirm is joined to components: a bucket of a thousand
+    copies needs a thousand comparisons. Then only buckets that still hold several
+    components are compared pair by pair, in tiles, and just across components. So no link that
     could join two components is left out, and copies are never paired among
     themselves.
 
@@ -283,10 +287,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     classes = stored(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n")), "near_classes")
     reps = classes.select("rep", "sig", "n")
     keys = _indexed(reps)
-    hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n_members")).filter("n_members > 1")
-    buckets = stored(keys.join(hubs, "key"), "near_buckets")
+    counts = keys.groupBy("key").agg(F.count("*").alias("n_members")).filter("n_members > 1")
+    buckets = stored(keys.join(counts, "key"), "near_buckets")
 
-    stars = buckets.filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    # The row that shares most keys with others is closest to most of its bucket.
+    shares = buckets.groupBy("rep").agg(F.sum("n_members").alias("weight"))
+    hubs = buckets.join(shares, "rep").groupBy("key").agg(F.max_by("rep", "weight").alias("hub"))
+    stars = buckets.join(hubs, "key").filter("rep <> hub").select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct()
     stars = stored(_within_radius(stars, reps, percent), "near_stars")
     links = _confirmed(stars, docs, words, percent)
     found = stored(components(links), "near_components")
@@ -294,26 +301,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     def placed(now):
         return stored(buckets.join(now, F.col("rep") == F.col("node"), "left").select("key", "rep", "n_members", F.coalesce("component", "rep").alias("component")), "near_placed")
 
-    # Buckets that hold several components: each row against three more rows of its bucket.
-    rows = placed(found)
-    scatter = F.xxhash64("rep", "key")
-    ends = [("rep", F.max_by), (scatter, F.min_by), (scatter, F.max_by)]
-    hubs = rows.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.array(*[F.struct(pick("rep", by).alias("hub"), pick("component", by).alias("other")) for by, pick in ends]).alias("hubs")
-    )
-    pairs = rows.join(hubs.filter("low <> high").select("key", "hubs"), "key").select("rep", "component", F.inline("hubs")).filter("component <> other")
-    tried = stored(_within_radius(pairs.select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"), reps, percent), "near_stars")
-    links = _confirmed(tried, docs, words, percent)
-    found = stored(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)), "near_components")
-    tried = stars.union(tried).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
     # What is left: pairs across components, in tiles.
     rows = placed(found)
     several = rows.groupBy("key").agg((F.min("component") != F.max("component")).alias("several")).filter("several").select("key")
     open_rows = stored(rows.join(several, "key"), "near_open")
-    alone = _shared_counts(_sets(docs, open_rows.select(F.col("rep").alias("id")).distinct(), words))
-    known = reps.join(alone, "rep", "left").select("rep", "sig", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
-    across = stored(_across(open_rows.join(known, "rep"), percent), "near_across").join(tried, ["a", "b"], "left_anti")
+    crowded = F.col("n_members") >= CROWD
+    alone = _shared_counts(_sets(docs, open_rows.filter(crowded).select(F.col("rep").alias("id")).distinct(), words))
+    known = open_rows.join(reps, "rep").join(alone, "rep", "left")
+    shared = F.when(crowded, F.col("n") - F.coalesce("alone", F.lit(0))).otherwise(F.col("n"))
+    across = stored(_across(known.select("key", "rep", "n_members", "component", "sig", "n", shared.alias("shared")), percent), "near_across").join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = _confirmed(_within_radius(across, reps, percent), docs, words, percent)
     joined = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
