@@ -14,7 +14,9 @@ DEGREE, ROUNDS, LEARNED = 32, 4, 5
 #: First neighbours come from blocks of rows that lie side by side in the order of some sign codes.
 CODES, BITS, BLOCK = 4, 11, 128
 #: Candidates that a search keeps, and how many of them it visits in a step.
-BEAM, VISITED = 512, 128
+BEAM, VISITED = 512, 256
+#: Queries whose search state one task holds.
+TOGETHER = 64
 
 
 def usable(vectors: DataFrame, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
@@ -206,8 +208,10 @@ def search_graph(queries: DataFrame, packed: DataFrame, edges: DataFrame, entrie
     ``queries`` has ``query`` and its vector ``x``, ``entries`` has ``query`` and the
     ``id`` where its search begins. In every step each query visits its nearest
     candidates not yet visited, reads their neighbours with their vectors in a
-    join, and keeps the best of all; it ends when all kept ones are visited.
+    join, and keeps the best of all; it ends when all kept ones are visited. The
+    state is small, so its number of tasks follows the number of queries.
     """
+    tasks = queries.count() // TOGETHER + 1
     near = edges.select(F.col("id").alias("node"), F.col("other").alias("id")).join(packed, "id").groupBy("node").agg(F.collect_list(F.struct("id", "x")).alias("near"))
     near = stored(near, "graph_near")
 
@@ -264,9 +268,9 @@ def search_graph(queries: DataFrame, packed: DataFrame, edges: DataFrame, entrie
         steps = state.select("query", "x", bound.alias("bound"), F.explode(todo).alias("node"))
         if steps.isEmpty():
             break
-        found = steps.join(near, "node").select("query", "x", "bound", "near").mapInArrow(visit, "query long, id long, d float").distinct()
+        found = steps.join(near, "node").select("query", "x", "bound", "near").coalesce(4 * tasks).mapInArrow(visit, "query long, id long, d float").distinct()
         found = found.groupBy("query").agg(F.collect_list(F.struct("id", "d")).alias("new"))
-        state = stored(state.join(found, "query", "left").select("query", "x", "ids", "ds", "seen", "new").mapInArrow(keep, _STATE), "search")
+        state = stored(state.join(found, "query", "left").select("query", "x", "ids", "ds", "seen", "new").coalesce(tasks).mapInArrow(keep, _STATE), "search")
     return state.select("query", F.inline(F.arrays_zip("ids", "ds"))).select("query", F.col("ids").alias("id"), F.col("ds").alias("d"))
 
 
