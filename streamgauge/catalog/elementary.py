@@ -37,17 +37,17 @@ def s1(i):
 
 
 S2 = """select event_type, count(*) as n, count(distinct user_id) as users, round(sum(value), 4) as total
-        from events group by event_type"""
+        from {events} group by event_type"""
 
 
-@query("s2_sql_query", S2)
+@query("s2_sql_query", S2.format(events="events"))
 def s2(i):
     return tables.run_query(i.spark, S2, events=i.t("events"))
 
 
 @query("s3_select_star", "select * from events")
 def s3(i):
-    return tables.run_query(i.spark, "select * from events", events=i.t("events"))
+    return tables.run_query(i.spark, "select * from {events}", events=i.t("events"))
 
 
 @query("s4_api_items", "select cast(o_orderkey as varchar) as video_id, o_orderpriority as title from orders")
