@@ -11,6 +11,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Most bytes that are compressed at once: a dictionary helps mainly what follows it directly.
+BLOCK = 2048
 
 
 @dataclass
@@ -25,7 +27,12 @@ class QualityModel:
 
 
 def size_differences(texts: list[bytes], good: bytes, bad: bytes, level: int) -> np.ndarray:
-    """(bad - good) / (bad + good) of the compressed sizes; 0 for an empty text or without dictionaries."""
+    """(bad - good) / (bad + good) of the compressed sizes; 0 for an empty text or without dictionaries.
+
+    Blocks of at most ``BLOCK`` bytes, equally long within a text, are compressed
+    each on its own and their sizes summed, so every part of a text counts alike
+    however long it is.
+    """
     if not good or not bad:
         return np.zeros(len(texts))
     packers = []
@@ -36,7 +43,9 @@ def size_differences(texts: list[bytes], good: bytes, bad: bytes, level: int) ->
     out = np.zeros(len(texts))
     for i, text in enumerate(texts):
         if text:
-            a, b = (len(p.compress(text)) for p in packers)
+            n = -(-len(text) // BLOCK)
+            blocks = [text[len(text) * j // n : len(text) * (j + 1) // n] for j in range(n)]
+            a, b = (sum(len(p.compress(block)) for block in blocks) for p in packers)
             out[i] = (b - a) / (a + b)
     return out
 
@@ -102,8 +111,8 @@ def fit_quality(
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
     """``doc_id`` and ``score`` (0 to 1, higher: likelier good) of every whole text.
 
-    Both dictionaries compress the text; the difference of the sizes over their
-    sum goes through the calibration. Null and empty texts have difference 0;
+    Both dictionaries compress all blocks of the text; the difference of the summed
+    sizes over their sum goes through the calibration. Null and empty texts have difference 0;
     repeated rows are scored each; other columns are ignored; an empty table
     gives an empty table.
     """

@@ -33,6 +33,19 @@ def test_held_out_accuracy(spark, tables):
     assert len(empty) == 1
 
 
+def test_long_texts_count_to_their_end(spark):
+    rng = random.Random(6)
+    syllables = ["".join(rng.choices("bcdfghklmnprstvw", k=2)) + v for v in "aeiou" for _ in range(12)]
+    kinds = {q: ["".join(rng.choices(syllables, k=rng.randint(2, 3))) for _ in range(1500)] for q in (0, 1)}
+    text = lambda q, n: " ".join(rng.choices(kinds[q], k=n))
+    rows = [(i, text(int(i % 5 > 0), rng.randint(60, 300))) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i, _ in rows], "doc_id long, quality int")
+    model = fit_quality(docs_of(spark, rows), labels, F.lit(True))
+    long = [(q, text(q, 60000)) for q in (0, 1)] + [(2, text(1, 600) + " " + text(0, 60000))]
+    got = {r.doc_id: r.score for r in score_quality(docs_of(spark, long), model).collect()}
+    assert got[0] < 0.1 and got[1] > 0.9 and got[2] < 0.1
+
+
 def test_one_class_only_gives_its_share(spark, tables):
     docs, labels = tables
     model = fit_quality(docs, labels, F.col("doc_id") % 3 == 1)
