@@ -169,9 +169,10 @@ def best_path(scores: np.ndarray, count: np.ndarray, switch: float = SWITCH) ->
     """The language of each word on the best path of each document.
 
     ``scores`` has the words of all documents on end, ``count`` their numbers. A
-    document stays in its best language throughout if no stretch of another one
-    gains more than the changes there and back cost; running sums tell that
-    exactly. Only the others take the full recursion, all at once, word by word.
+    document stays in its best language throughout if no stretch, with the best
+    other language taken for each of its words, gains more than the changes there
+    and back cost: no mix of other languages gains more than that. Running sums rule
+    such documents out; the others take the full recursion, all at once, word by word.
     """
     path = np.zeros(len(scores), np.int32)
     full = np.flatnonzero(count)
@@ -182,21 +183,22 @@ def best_path(scores: np.ndarray, count: np.ndarray, switch: float = SWITCH) ->
     total = np.add.reduceat(scores.astype(np.float64), first[full], axis=0)
     top = total.argmax(axis=1)
     path[:] = top[row]
-    mixed = np.zeros(len(full), bool)
-    for lang in range(scores.shape[1]):
-        gain = scores[:, lang].astype(np.float64) - scores[np.arange(len(scores)), top[row]]
-        run = np.cumsum(gain)
-        base = (run - gain)[first[full]]
-        run -= base[row]
-        high = 2 * (np.abs(run).max() + 1)
-        before = np.concatenate([[0.0], run[:-1]])
-        before[first[full]] = 0
-        low = np.minimum.accumulate(before - high * row) + high * row
-        last = first[full] + count[full] - 1
-        inner = np.maximum.reduceat(run - low, first[full]) > 2 * switch
-        from_start = np.maximum.reduceat(run, first[full]) > switch
-        to_end = run[last] - low[last] > switch
-        mixed |= inner | from_start | to_end
+    words = np.arange(len(scores))
+    others = scores.astype(np.float64)
+    others[words, top[row]] = -np.inf
+    gain = others.max(axis=1) - scores[words, top[row]]
+    run = np.cumsum(gain)
+    base = (run - gain)[first[full]]
+    run -= base[row]
+    high = 2 * (np.abs(run).max() + 1)
+    before = np.concatenate([[0.0], run[:-1]])
+    before[first[full]] = 0
+    low = np.minimum.accumulate(before - high * row) + high * row
+    last = first[full] + count[full] - 1
+    inner = np.maximum.reduceat(run - low, first[full]) > 2 * switch
+    from_start = np.maximum.reduceat(run, first[full]) > switch
+    to_end = run[last] - low[last] > switch
+    mixed = inner | from_start | to_end
     todo = full[mixed]
     if len(todo) == 0:
         return path

@@ -75,3 +75,19 @@ def test_best_path_equals_enumeration():
             best = max((worth(p) for p in itertools.product(range(3), repeat=int(n))), default=0)
             assert worth(path[at : at + n].tolist()) == pytest.approx(best, abs=1e-4)
             at += n
+
+
+def test_best_path_with_other_languages_side_by_side():
+    two = [[0, 7, -20], [0, -20, 7]]
+    assert best_path(np.array(two, np.float32), np.array([2]), 8.0).tolist() == [1, 2]
+    inner = [[9, -20, -20]] * 3 + [[0, 14, -20], [0, -20, 14]] + [[9, -20, -20]] * 3
+    assert best_path(np.array(inner, np.float32), np.array([8]), 8.0).tolist() == [0, 0, 0, 1, 2, 0, 0, 0]
+    rng = np.random.default_rng(5)
+    count = rng.integers(1, 6, 300)
+    scores = rng.normal(0, 4, size=(count.sum(), 4)).astype(np.float32)
+    path, at = best_path(scores, count, 6.0), 0
+    for n in count:
+        own = scores[at : at + n]
+        worth = lambda p: sum(own[i, x] for i, x in enumerate(p)) - 6 * sum(a != b for a, b in zip(p, p[1:]))
+        assert worth(path[at : at + n].tolist()) == pytest.approx(max(worth(p) for p in itertools.product(range(4), repeat=int(n))), abs=1e-4)
+        at += n
