@@ -1,4 +1,4 @@
-"""Benchmark passages in training text: spaced seeds, then an overlap that tolerates substitutions.
+"""Benchmark passages in training text: seeds, counted along their offset, then an overlap that tolerates substitutions.
 
 DataFrame functions only.
 """
@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 from streamgauge.llm.common import stored
 
-#: Positions of a window of SPAN tokens that a mask looks at; it ignores the others.
-MASKS = ((0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 7, 8))
-SPAN = 9
+#: Positions of a window of SPAN tokens that a mask looks at. Five substitutions leave three tokens in a row equal
+#: somewhere in 20, and so does a quarter of substituted tokens in any item of 9 to 19 tokens.
+MASKS = ((0, 1, 2),)
+SPAN = 3
+#: Shorter items match nothing.
+SHORTEST = 9
 #: An overlap counts if SHARE of the tokens of some stretch of WINDOW of an item stand in the document in step.
 WINDOW, SHARE = 20, 0.75
 #: Most rows of a side that is sent to all tasks, some 10 MB; a larger one is joined by shuffles.
@@ -76,21 +79,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shar
 
     Seeds of both sides are joined; a table of bits of fixed size first drops most
     positions of a document that no item's seed can meet. Each joined pair names a
-    document, an item and the offset between them. Along that offset, document and item are compared
+    document, an item and the offset between them. A substitution spoils at most
+    ``SPAN`` seeds, so a leak has a least number of seeds at its offset, and offsets
+    with fewer go. For the default ``window`` and ``share`` this misses none. Along an offset, document and item are compared
     token by token. A pair is a leak if in some stretch of ``window`` tokens of the
     item (of a shorter item, all) at least ``share`` are equal. Returns ``doc_id``,
     ``item_id``, ``offset`` and ``matched`` (equal tokens of the best stretch), a row
     for each leak at its best offset, the smallest of equally good ones.
 
-    Items of fewer than ``SPAN`` tokens have no seed and match nothing; nor do null
+    Items of fewer than ``SHORTEST`` tokens match nothing; nor do null
     and empty texts. Rows without an id are not compared. Rows of one id are
     compared each and reported together. Empty tables give an empty table; other
     columns are ignored. Seeds are dealt over tasks by document, so one that a third
     of all documents share gathers nowhere; only pairs with the benchmark arise.
     """
-    items = benchmark.filter("item_id is not null").select("item_id", tokens(F.col("text")).alias("tokens"))
+    items = benchmark.filter("item_id is not null").select("item_id", tokens(F.col("text")).alias("tokens")).filter(F.size("tokens") >= SHORTEST)
     codes = F.transform("tokens", lambda t: F.xxhash64(t)).alias("codes")
-    wanted = stored(_seeds(items.select("item_id", codes), ["item_id"], _places()).select("seed", "item_id", F.col("at").alias("item_at")).distinct(), "leak_seeds")
+    least = F.least(F.lit(window), F.size("tokens"))
+    need = F.greatest(least - SPAN + 1 - SPAN * (least - F.ceil(least * share)), F.lit(1)).cast("int").alias("need")
+    wanted = stored(_seeds(items.select("item_id", need, codes), ["item_id", "need"], _places()).select("seed", "item_id", "need", F.col("at").alias("item_at")).distinct(), "leak_seeds")
     words = docs.filter("doc_id is not null").select("doc_id", tokens(F.col("text")).alias("tokens"))
     bits = stored(_bit_table(wanted), "leak_bits")
 
@@ -100,8 +107,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shar
 
     coded = words.select("doc_id", codes, bits.select("table").scalar().alias("bits"))
     placed = coded.select("doc_id", "codes", F.filter(_places(), may_hit).alias("places"))
-    hits = _seeds(placed, ["doc_id"], F.col("places")).join(_small(wanted), "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("offset")).distinct()
-    hits = stored(hits, "leak_hits")
+    hits = _seeds(placed, ["doc_id"], F.col("places")).join(_small(wanted), "seed").groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("offset"))
+    hits = stored(hits.agg(F.count("*").alias("n"), F.min("need").alias("need")).filter("n >= need").select("doc_id", "item_id", "offset"), "leak_hits")
     near = hits.groupBy("doc_id", "item_id").agg(F.collect_set("offset").alias("offsets"))
     near = stored(near.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "offsets")).alias("near")), "leak_places")
 

@@ -56,6 +56,27 @@ def test_joins_by_shuffle_beyond_the_bound(tables, monkeypatch):
     assert find_leaks(docs, benchmark).count() == 5
 
 
+def test_every_allowed_substitution_is_found(spark):
+    rng = random.Random(8)
+    rows, items, want = [], [], set()
+    for n in (9, 12, 15, 16, 19, 20, 23):
+        items.append((n, " ".join(f"i{n}t{j}" for j in range(n))))
+        window = min(n, 20)
+        for k in range(80):
+            spoiled = rng.sample(range(window), window // 4 + k % 2)
+            if k < 4:
+                spoiled = range(k, n, 4)
+            got = [f"x{j}" if j in spoiled else t for j, t in enumerate(items[-1][1].split())]
+            rows.append((len(rows), " ".join(["before", "it", *got, "after", "it"])))
+            best = max(sum(j not in spoiled for j in range(a, a + window)) for a in range(n - window + 1))
+            if best >= 0.75 * window:
+                want.add((rows[-1][0], n, best))
+    # Three equal tokens alone are not enough, nor is the same item at several offsets.
+    rows += [(9000, " ".join(["i20t1 i20t2 i20t3 y"] * 40)), (9001, "i20t1 i20t2 i20t3")]
+    found = find_leaks(docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.matched) for r in found.collect()} == want and len(want) > 250
+
+
 def test_empty(spark, tables):
     docs, benchmark = tables
     assert find_leaks(docs.limit(0), benchmark).count() == 0
