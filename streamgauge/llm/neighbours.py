@@ -280,7 +280,9 @@ def nearest_neighbours(vectors: DataFrame, query_condition, k: int = 10, id_colu
     Returns ``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` (the distance, in
     double precision on the original vectors), nearest first, ties to smaller ids.
 
-    A graph of near neighbours is built by descent: neighbours of a node, and
+    Equal vectors are one node, under their smallest id, and at the end each vector
+    found, and the query's own, comes back as its ``k + 1`` smallest ids, so ties among
+    equal vectors are exact. A graph of near nodes is built by descent: neighbours of a node, and
     nodes that have it as a neighbour, meet at the node in a join and learn of each
     other, so neighbours of neighbours become neighbours. A query starts at its
     own neighbours and at a few rows spread over the table. Vectors that can't be
@@ -289,9 +291,14 @@ def nearest_neighbours(vectors: DataFrame, query_condition, k: int = 10, id_colu
     columns are ignored; an empty table gives an empty table.
     """
     rows = stored(usable(vectors, id_column, column), "vectors")
-    packed = stored(_packed(rows), "vectors_packed")
+    place = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    first = rows.withColumn("place", place).filter(F.col("place") <= k + 1)
+    members = stored(first.select("id", F.min("id").over(Window.partitionBy("v")).alias("rep")), "vector_members")
+    reps = stored(rows.join(members.filter("id = rep").select("id"), "id"), "vector_reps")
+    packed = stored(_packed(reps), "vectors_packed")
     edges = build_graph(packed)
-    queries = packed.filter(query_condition).select(F.col("id").alias("query"), "x")
+    asked = stored(rows.filter(query_condition).select(F.col("id").alias("query_id"), "v").join(reps.select(F.col("id").alias("rep"), "v"), "v").select("query_id", "rep"), "vector_queries")
+    queries = packed.join(asked.select(F.col("rep").alias("id")).distinct(), "id").select(F.col("id").alias("query"), "x")
     spread = packed.orderBy(F.xxhash64("id"), "id").limit(BEAM).select("id")
     begin = edges.join(queries.select(F.col("query").alias("id")), "id", "left_semi").select(F.col("id").alias("query"), F.col("other").alias("id"))
     fixed = stored(spread, "entries")
@@ -303,9 +310,14 @@ def nearest_neighbours(vectors: DataFrame, query_condition, k: int = 10, id_colu
             a, b = batch.column("v").flatten().to_numpy(), batch.column("w").flatten().to_numpy()
             width = len(a) // max(batch.num_rows, 1)
             d = np.sqrt(((a - b).reshape(batch.num_rows, width) ** 2).sum(axis=1)) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("id"), pa.array(d)], ["query_id", "vec_id", "score"])
-
-    exact = found.join(rows, "id").join(rows.select(F.col("id").alias("query"), F.col("v").alias("w")), "query").select("query", "id", "v", "w").mapInArrow(rank, "query_id long, vec_id long, score double")
+            yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("id"), pa.array(d)], ["query", "id", "score"])
+
+    exact = found.join(reps, "id").join(reps.select(F.col("id").alias("query"), F.col("v").alias("w")), "query").select("query", "id", "v", "w").mapInArrow(rank, "query long, id long, score double")
+    # The k nearest other vectors and the query's own hold the k nearest rows: each comes with its smallest ids.
+    near = exact.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy("score", "id"))).filter(F.col("place") <= k).select("query", "id", "score")
+    near = near.union(queries.select("query", F.col("query").alias("id"), F.lit(0.0).alias("score")))
+    near = near.select(F.col("query").alias("rep"), F.col("id").alias("other"), "score")
+    copies = members.select(F.col("rep").alias("other"), F.col("id").alias("vec_id"))
+    every = asked.join(near, "rep").join(copies, "other").filter("vec_id <> query_id").select("query_id", "vec_id", "score")
     ranked = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return exact.withColumn("rank", ranked).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
+    return every.withColumn("rank", ranked).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
