@@ -51,13 +51,13 @@ def test_few_and_no_vectors(spark):
 
 def test_smallest_ids_of_equal_vectors(spark):
     rng = np.random.default_rng(9)
-    x = rng.normal(size=(500, 8)).astype(np.float32)
-    x[100:400] = x[100]
-    x[450:455] = x[450]
-    rows = list(enumerate(x[np.argsort(rng.permutation(500))]))
-    got = neighbours.nearest_neighbours(table(spark, rows), F.col("id") % 10 == 0).collect()
+    x = rng.normal(size=(2000, 8)).astype(np.float32)
+    x[100:1700] = x[100]
+    x[1750:1755] = x[1750]
+    rows = list(enumerate(x[np.argsort(rng.permutation(2000))]))
+    got = neighbours.nearest_neighbours(table(spark, rows), F.col("id") % 100 == 0).collect()
     all_x = np.array([v for _, v in rows], np.float64)
-    for q in range(0, 500, 10):
+    for q in range(0, 2000, 100):
         d = np.sqrt(((all_x - all_x[q]) ** 2).sum(axis=1))
-        want = [i for i in np.lexsort((np.arange(500), d)) if i != q][:10]
+        want = [i for i in np.lexsort((np.arange(2000), d)) if i != q][:10]
         assert [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == want
