@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamgauge.llm import langid, lattice, leaks, mixing, near, neighbours, pages, quality, spans, warc
+from streamgauge.llm import langid, lattice, leaks, lines, mixing, near, neighbours, pages, quality, spans, warc
 from streamgauge.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,20 @@ def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.remove_shared_lines(table(spark, sf_dir, "documents"), least=40, documents=5)
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op13_lines"] = r"""
+with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos from documents),
+k as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+shared as (select key, max(doc_id) as holder from k where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+marked as (select k.*, s.holder is not null and s.holder <> k.doc_id as gone from k left join shared s on s.key = k.key)
+select doc_id, cast(count(*) as bigint) as n_lines, cast(count(*) filter (gone) as bigint) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from marked group by doc_id"""
