@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamgauge.llm import langid, lattice, leaks, lines, mixing, near, neighbours, pages, quality, spans, warc
-from streamgauge.llm.common import scratch, table
+from streamgauge.llm import langid, lattice, leaks, lines, mixing, near, neighbours, pages, quality, runs, spans, warc
+from streamgauge.llm.common import WORD, scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -156,3 +156,34 @@ marked as (select k.*, s.holder is not null and s.holder <> k.doc_id as gone fro
 select doc_id, cast(count(*) as bigint) as n_lines, cast(count(*) filter (gone) as bigint) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
 from marked group by doc_id"""
+
+
+def with_loops(docs: DataFrame) -> DataFrame:
+    """The contract's texts: in one document of ten the words from a place on repeat with a period, both drawn from its id."""
+    h = fold(1 << 32)
+    words = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))).alias("words"))
+    n = F.size("words")
+    placed = words.withColumn("first", F.when(n > 0, F.col("g") % n).cast("int"))
+    rest = n - F.col("first")
+    placed = placed.withColumn("period", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    root = F.slice("words", F.col("first") + 1, F.col("period"))
+    loops = F.flatten(F.array_repeat(root, F.ceil(rest / F.col("period")).cast("int")))
+    looped = F.slice(F.concat(F.slice("words", F.lit(1), F.col("first")), loops), F.lit(1), n)
+    return placed.select("doc_id", F.coalesce(F.array_join(looped, " "), F.col("text")).alias("text"))
+
+
+@query
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(with_loops(table(spark, sf_dir, "documents")), least=6, times=4)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.back")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.short")).alias("period"),
+        F.expr("1000 * longest.length div -longest.short").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
