@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamgauge.llm import langid, lattice, leaks, lines, mixing, near, neighbours, pages, quality, runs, spans, warc
+from streamgauge.llm import langid, lattice, leaks, lines, mixing, near, neighbours, pages, quality, runs, spans, trie, warc
 from streamgauge.llm.common import WORD, scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,31 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"),
         F.sha2("kept", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    turns, convs = trie.grafted(trie.placed_turns(table(spark, sf_dir, "conversations")), conv - conv % 5, F.crc32(conv.cast("string").cast("binary")) % 9)
+    return trie.prefix_tree(turns, convs)
+
+
+#: Every prefix as a list of its turns, and every node below it by comparing lists.
+ORACLES["op11_trie"] = r"""
+with turns as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+own as (select conv_id, list({'role': role, 'text': text} order by turn nulls first) as seq from turns group by conv_id),
+hashed as (select conv_id, seq, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(conv_id as varchar), ''), lambda ch: cast(ascii(ch) as bigint))),
+              lambda c, b: list_reduce(list_prepend(xor(c, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 9 as h from own),
+rebuilt as (select c.conv_id, list_concat(coalesce(r.seq[1:c.h], []), c.seq[c.h + 1:]) as seq
+            from hashed c left join own r on r.conv_id = c.conv_id - c.conv_id % 5),
+steps as (select conv_id, seq, unnest(range(len(seq) + 1)) as d from rebuilt),
+paths as (select conv_id, d, seq[1:d] as path, len(seq) = d as ends, case when d = 0 then 0 else strlen(seq[d].text) end as n_bytes from steps),
+nodes as (select path, d, min(conv_id) as conv_id, count(*) as n_convs, min(n_bytes) as n_bytes,
+                 sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends), '')) as ends_sha256 from paths group by path, d),
+children as (select path[1:d - 1] as path, d - 1 as d, count(*) as n_children from nodes where d > 0 group by all),
+marked as (select n.*, coalesce(c.n_children, 0) as n_children from nodes n left join children c on c.path = n.path and c.d = n.d),
+up as (select path, d, n_children, (n_convs - 1) * n_bytes as saved, unnest(range(d + 1)) as a from marked),
+below as (select path[1:a] as path, a as d, count(*) filter (n_children = 0) as n_leaves, sum(saved) as saved_tokens from up group by all)
+select n.conv_id, cast(n.d as bigint) as depth, p.conv_id as parent_conv_id, cast(n.n_convs as bigint) as n_convs, cast(n.n_children as bigint) as n_children,
+       cast(b.n_leaves as bigint) as n_leaves, cast(b.saved_tokens as bigint) as saved_tokens, n.ends_sha256
+from marked n join below b on b.path = n.path and b.d = n.d left join nodes p on n.d > 0 and p.d = n.d - 1 and p.path = n.path[1:n.d - 1]"""
