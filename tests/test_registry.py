@@ -2,6 +2,9 @@
 
 import os
 import re
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -50,3 +53,20 @@ def test_whole_inventory_is_registered():
 
 def test_only_model_fits_lack_sql():
     assert set(KEYS) - set(all_oracles()) == {"g1_embed_text", "g2_series_forecast", "m32_curve_clusters"}
+
+
+@pytest.mark.parametrize("deleted", [["streamgauge/llm", "corpus_pipeline.py"], ["streamgauge/llm"], ["corpus_pipeline.py"]])
+def test_contract_without_the_added_operators(tmp_path, deleted):
+    top = os.path.dirname(contract.__file__)
+    for name in ("__spark_entry__.py", "corpus_pipeline.py", "streamgauge"):
+        source = os.path.join(top, name)
+        if os.path.isdir(source):
+            shutil.copytree(source, tmp_path / name, ignore=shutil.ignore_patterns("__pycache__", *[os.path.basename(d) for d in deleted]))
+        elif name not in deleted and os.path.exists(source):
+            shutil.copy(source, tmp_path / name)
+    code = "import __spark_entry__ as e; print(*e.queries()); print(*e.oracle_sql())"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env=os.environ | {"PYTHONPATH": str(tmp_path)})
+    assert done.returncode == 0, done.stderr
+    built, twins = (set(line.split()) for line in done.stdout.splitlines())
+    assert set(KEYS) <= built and set(all_oracles()) <= twins and twins <= built
+    assert "pipeline" not in built
