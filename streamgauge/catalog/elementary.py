@@ -592,7 +592,7 @@ def a10(i):
 
 @query("a11_median", "select median(o_totalprice) as median_price from orders")
 def a11(i):
-    return exact_median(i.t("orders"), [], "o_totalprice", "median_price")
+    return exact_median(i.t("orders"), [], "o_totalprice", "median_price", store=False)
 
 
 @query(
@@ -654,7 +654,7 @@ def a15(i):
     "minute_viewers",
 )
 def a16(i):
-    return exact_median(i.v("minute_viewers"), ["livestream_position"], "peak_concurrent_viewers", "median_peak")
+    return exact_median(i.v("minute_viewers"), ["livestream_position"], "peak_concurrent_viewers", "median_peak", store=False)
 
 
 @query(

@@ -1,70 +1,69 @@
-"""Exact medians of groups of any size."""
+"""Exact medians of groups of any size, by counting."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamgauge.operators.joins import spread_join
 from streamgauge.session import materialize
 
-ACCURACY = 10000
-MARGIN = 0.001
-RANGES = 1000
+#: Bits of a value that one pass counts by; four passes see all 64.
+DIGIT = 16
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+def ordered_bits(x: Column) -> Column:
+    """A whole number for each double that sorts like it; both zeros are one, NaN is the largest.
+
+    The bits of a double sort like the number itself once the bits below the sign
+    of negative ones are turned round.
+    """
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), x + F.lit(0.0)).cast("long")
+    return F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit((1 << 63) - 1)))
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, store: bool = True) -> DataFrame:
     """Interpolated median of ``value`` per ``keys``; NULLs are left out.
 
-    A quantile sketch of fixed size brackets the median within 0.1 % of the
-    ranks on each side, ten times its error bound. Rows below the bracket
-    shrink to one count and rows above it are dropped. A second sketch cuts the
-    rest into ``RANGES`` ranges of values; their counts tell which one or two hold
-    the middle ranks, and only those are ordered: some 2 rows in a million meet in
-    one task. The bracket is stored once while the plan is built. Without ``keys``
+    Selection by counting. A first pass counts the rows of all groups by the top 16
+    of 64 order-preserving bits; the counts tell under which digit the one or two
+    middle ranks lie, and how many ranks are left below it. Each further pass counts the rows that share
+    the digits found so far by their next 16 bits. Counts add up before the
+    shuffle, so a task ships at most 65,536 rows a group however many rows it has; no pass sorts, gathers or
+    samples rows. Every pass reads all values, so they are stored once, while the plan is
+    built; ``store=False`` leaves that out where ``df`` is a scan itself. Without ``keys``
     the result is one row.
     """
     group = list(keys) or ["_all"]
     rows = df.filter(F.col(value).isNotNull()).withColumn("_x", F.col(value).cast("double"))
     if not keys:
         rows = rows.withColumn("_all", F.lit(0))
-    rows = rows.select(*group, "_x")
-    bracket = rows.groupBy(*group).agg(
-        F.percentile_approx("_x", [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY).alias("_ends"),
-        F.count("*").alias("_total"),
-    )
-    counted = rows.groupBy(*group, "_x").agg(F.count("*").alias("_n"))
-    low, high = F.get("_ends", F.lit(0)), F.get("_ends", F.lit(1))
-    near = (
-        spread_join(counted, bracket, group, "inner", ["_x"])
-        .filter(F.col("_x") <= high)
-        .withColumn("_x", F.when(F.col("_x") >= low, F.col("_x")))
-        .groupBy(*group, "_x")
-        .agg(F.sum("_n").alias("_n"), F.first("_total").alias("_total"))
-    )
-    first_rank = F.floor((F.col("_total") + 1) / 2)
-    second_rank = F.floor(F.col("_total") / 2) + 1
+    rows = rows.select(*group, "_x", ordered_bits(F.col("_x")).alias("_bits"))
+    if store:
+        rows = materialize(rows, "median_values")
+
+    def counted(live: DataFrame, shift: int, *carried: Column) -> DataFrame:
+        return live.withColumn("_next", F.shiftright("_bits", shift)).groupBy(*group, "_next").agg(F.count("*").alias("_n"), *carried)
 
-    def holds(rank, count):
-        return (F.col("_before") < rank) & (rank <= F.col("_before") + F.col(count))
+    def held(counts: DataFrame) -> DataFrame:
+        """The digits under which a middle rank lies, with the ranks left inside."""
+        place = Window.partitionBy(*group, "_digits").orderBy("_next")
+        before = counts.withColumn("_before", F.sum("_n").over(place) - F.col("_n"))
+        inside = {r: F.when((F.col("_before") < F.col(r)) & (F.col(r) <= F.col("_before") + F.col("_n")), F.col(r) - F.col("_before")) for r in ("_low", "_high")}
+        found = before.withColumns(inside).filter("_low is not null or _high is not null")
+        return found.drop("_before", "_digits").withColumnRenamed("_next", "_digits")
 
-    near = materialize(near, "median_bracket")
-    cuts = near.filter("_x is not null").groupBy(*group).agg(
-        F.percentile_approx("_x", [i / RANGES for i in range(1, RANGES)], ACCURACY).alias("_cuts")
-    )
-    place = F.when(F.col("_x").isNull(), -1).otherwise(F.size(F.filter("_cuts", lambda c: c < F.col("_x"))))
-    ranged = near.join(cuts, group, "left").select(*group, "_x", "_n", "_total", place.alias("_range"))
-    ranges = ranged.groupBy(*group, "_range").agg(F.sum("_n").alias("_in"), F.first("_total").alias("_total"))
-    ranges = ranges.withColumn("_before", F.sum("_in").over(Window.partitionBy(*group).orderBy("_range")) - F.col("_in"))
-    middle = ranges.filter(holds(first_rank, "_in") | holds(second_rank, "_in")).select(*group, "_range", F.col("_before").alias("_start"))
-    inside = Window.partitionBy(*group, "_range").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = ranged.join(middle, [*group, "_range"]).withColumn("_before", F.col("_start") + F.sum("_n").over(inside) - F.col("_n"))
-    found = ordered.groupBy(*group).agg(
-        F.max(F.when(holds(first_rank, "_n"), F.col("_x"))).alias("_a"), F.max(F.when(holds(second_rank, "_n"), F.col("_x"))).alias("_b")
-    )
-    missed = F.raise_error(F.lit("median outside its bracket")).cast("double")
-    return found.select(
-        *keys, F.coalesce((F.col("_a") + F.col("_b")) / 2, missed).alias(out)
-    )
+    first = counted(rows, 64 - DIGIT)
+    total = F.sum("_n").over(Window.partitionBy(*group))
+    targets = held(first.withColumns({"_low": F.floor((total + 1) / 2), "_high": F.floor(total / 2) + 1, "_digits": F.lit(0)}))
+    for shift in range(64 - 2 * DIGIT, -1, -DIGIT):
+        known = targets.select(*[F.col(g).alias(f"_of_{g}") for g in group], "_digits", "_low", "_high")
+        same = F.shiftright("_bits", shift + DIGIT) == F.col("_digits")
+        for g in group:
+            same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+        # What a group carries is the same on all rows of one prefix.
+        carried = [F.max(c).alias(c) for c in ("_digits", "_low", "_high")]
+        targets = held(counted(rows.join(known, same), shift, *carried, F.max("_x").alias("_x")))
+    middle = targets.groupBy(*group).agg(F.max(F.when(F.col("_low").isNotNull(), F.col("_x"))).alias("_a"), F.max(F.when(F.col("_high").isNotNull(), F.col("_x"))).alias("_b"))
+    return middle.select(*keys, F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise((F.col("_a") + F.col("_b")) / 2).alias(out))

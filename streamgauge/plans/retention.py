@@ -11,6 +11,7 @@ from streamgauge.operators.joins import spread_join
 from streamgauge.operators.latest import latest_per
 from streamgauge.operators.medians import exact_median
 from streamgauge.operators.series import attach_group, change, run_length
+from streamgauge.session import materialize
 
 VIDEO = ["video_id"]
 POSITION = "livestream_position"
@@ -123,8 +124,8 @@ def retention_segments(streaks: DataFrame, min_rows: int = 60) -> DataFrame:
     """Longest streak, minutes and mean viewers per video, placed against the medians.
 
     Videos of ``min_rows`` minutes or fewer are left out; a value equal to its
-    median has no segment. Both medians come from one pass over the per-video
-    rows, which the plan computes once and reuses.
+    median has no segment. The per-video rows are stored while the plan is built;
+    both medians and the result read them.
     """
     videos = (
         streaks.groupBy("video_id")
@@ -136,6 +137,7 @@ def retention_segments(streaks: DataFrame, min_rows: int = 60) -> DataFrame:
         .withColumn("retain_pct", F.col("max_run") / F.col("total_rows"))
         .filter(F.col("total_rows") > min_rows)
     )
+    videos = materialize(videos, "video_measures")
     measures = videos.select(
         F.inline(
             F.array(
@@ -144,7 +146,7 @@ def retention_segments(streaks: DataFrame, min_rows: int = 60) -> DataFrame:
             )
         )
     )
-    medians = exact_median(measures, ["measure"], "value", "median")
+    medians = exact_median(measures, ["measure"], "value", "median", store=False)
     cuts = medians.agg(
         F.struct(
             F.max(F.when(F.col("measure") == "viewers", F.col("median"))).alias("viewers"),

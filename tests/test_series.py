@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from streamgauge.operators import series
-from streamgauge.operators.medians import exact_median
 from streamgauge.plans import retention
 
 SPAN = 300
@@ -134,16 +133,3 @@ def test_short_series_need_no_join(spark):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "Join" not in plan
-
-
-@pytest.mark.parametrize("n", [1, 2, 7, 1000, 30001])
-def test_exact_median(spark, n):
-    rng = random.Random(n)
-    xs = [rng.choice([rng.gauss(0, 1), round(rng.gauss(0, 3)), 1.5]) for _ in range(n)]
-    df = spark.createDataFrame([(k % 2, float(x)) for k, x in enumerate(xs)] + [(0, None)], "g int, x double")
-    import statistics
-
-    assert exact_median(df, [], "x", "m").collect()[0].m == pytest.approx(statistics.median(xs), abs=1e-12)
-    got = {r.g: r.m for r in exact_median(df, ["g"], "x", "m").collect()}
-    for g in {k % 2 for k in range(n)}:
-        assert got[g] == pytest.approx(statistics.median(xs[g::2]), abs=1e-12)
