@@ -6,17 +6,14 @@ and arrays per video are small from there on.
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamgauge.functions.numbers import percent_bucket
+from streamgauge.operators.clusters import assign_clusters, best_centers
 from streamgauge.operators.medians import exact_median
 from streamgauge.operators.series import attach_group
+from streamgauge.session import materialize
 
 PERCENTS = list(range(101))
 # Names of the four curve clusters.
@@ -152,31 +149,17 @@ def name_clusters(centers) -> dict[int, str]:
     return named
 
 
-def cluster_curves(
-    norm: DataFrame, k: int = 4, restarts: int = 20, seed: int = 42, max_iter: int = 20, parallelism: int = 8
-) -> DataFrame:
-    """k-means over whole curves; the best of ``restarts`` seeds names each video's cluster.
+def cluster_curves(norm: DataFrame, k: int = 4, restarts: int = 20, seed: int = 42, max_iter: int = 20) -> DataFrame:
+    """k-means over whole curves; the best of ``restarts`` starts names each video's cluster.
 
-    Fitting runs distributed jobs at once, ``parallelism`` seeds at a time;
-    only the k centres of each seed reach the driver.
+    All starts move together: a step is one scan that assigns every curve to its
+    centre in each start and adds up the new centres.
     """
-    vectors = curve_vectors(norm).withColumn("features", array_to_vector("curve"))
-    vectors = vectors.select("video_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    vectors.count()
-
-    @inheritable_thread_target(norm.sparkSession)
-    def fit(start: int):
-        return KMeans(k=k, seed=start, maxIter=max_iter, predictionCol="cluster_id").fit(vectors)
-
-    try:
-        with ThreadPool(min(parallelism, restarts)) as pool:
-            models = pool.map(fit, range(seed, seed + restarts))
-        best = min(models, key=lambda m: m.summary.trainingCost)
-    finally:
-        vectors.unpersist()
-    names = name_clusters(best.clusterCenters())
-    label = F.create_map(*[x for i, n in names.items() for x in (F.lit(i), F.lit(n))])
-    return best.transform(vectors).select("video_id", label[F.col("cluster_id")].alias("cluster"))
+    vectors = materialize(curve_vectors(norm), "curve_vectors")
+    centers = best_centers(vectors, "video_id", "curve", k, restarts, seed, max_iter)
+    names = name_clusters(centers)
+    label = F.create_map(*[x for i, n in names.items() for x in (F.lit(i), F.lit(n))]) if names else F.lit(None).cast("map<int,string>")
+    return assign_clusters(vectors, "curve", centers, "_cluster").select("video_id", label[F.col("_cluster")].alias("cluster"))
 
 
 def cluster_medians(curves: DataFrame, clusters: DataFrame) -> DataFrame:
