@@ -12,7 +12,9 @@ from streamgauge.functions.hashing import version_hash
 from streamgauge.operators.joins import keep_unseen, spread_join
 from streamgauge.operators.latest import latest_per, latest_per_day, newest_n
 from streamgauge.operators.medians import exact_median
-from streamgauge.operators.series import attach_group, change, next_value, run_length, trailing_values
+from streamgauge.operators.ranges import running_sums
+from streamgauge.operators.series import attach_group, change, fill_linear, next_value, run_length
+from streamgauge.operators.trailing import trailing_vectors
 from streamgauge.plans import curves, engagement, forecast, kpi, retention, semantic, transcript, vault
 from streamgauge.schemas import VIDEO_DATA
 from streamgauge.session import scratch_path
@@ -739,6 +741,19 @@ def w6(i):
     return P.long_forecast(i).select("ds", "platform", "y", "actual_running_sub")
 
 
+@query(
+    "w6_running_viewers",
+    "with " + P.CURRENT + """
+    select video_id, livestream_position, sum(average_concurrent_viewers) over (
+             partition by video_id order by livestream_position rows between unbounded preceding and current row) as viewer_minutes
+    from cur""",
+    "minute_viewers",
+)
+def w6_viewers(i):
+    rows = P.current(i).select("video_id", "livestream_position", "average_concurrent_viewers")
+    return running_sums(rows, ["video_id"], ["livestream_position"], {"viewer_minutes": "average_concurrent_viewers"}).drop("average_concurrent_viewers")
+
+
 @query(
     "w7_streak",
     "with " + P.CURRENT + """,
@@ -765,10 +780,8 @@ def w7(i):
 )
 def w8(i):
     masked = semantic.blank_uncovered(i.v("embedded_minutes"))
-    rows = trailing_values(masked, ["video_id"], "livestream_position", "embedding", 5, "before")
-    known = F.filter(F.transform("before", lambda b: b["v"]), lambda v: v.isNotNull())
-    mean = F.when(F.size(known) >= 3, vectors.vector_mean(known))
-    rows = rows.withColumn("mean", mean).select(
+    rows = trailing_vectors(masked, ["video_id"], "livestream_position", "embedding", [5], "mean")
+    rows = rows.withColumn("mean", F.when(F.col("valid_5") >= 3, F.col("mean_5"))).select(
         "video_id", "livestream_position", F.get("mean", F.lit(0)).alias("first_dim"), F.get("mean", F.lit(63)).alias("last_dim")
     )
     return rounded(rows, 6, "first_dim", "last_dim")
@@ -796,6 +809,23 @@ def w10(i):
     return rounded(P.filled(i), 6, "average_concurrent_viewers")
 
 
+@query(
+    "w10_minute_interpolate",
+    "with " + P.CURRENT + """,
+    known as (select video_id, livestream_position as pos, case when (livestream_position // 60) % 4 = 1 then average_concurrent_viewers end as v from cur),
+    sided as (select *, last_value(v ignore nulls) over back as v0, last_value(case when v is not null then pos end ignore nulls) over back as p0,
+                     first_value(v ignore nulls) over ahead as v1, first_value(case when v is not null then pos end ignore nulls) over ahead as p1
+              from known window back as (partition by video_id order by pos rows between unbounded preceding and current row),
+                                ahead as (partition by video_id order by pos rows between current row and unbounded following))
+    select video_id, pos as livestream_position, round(coalesce(v, v0 + (v1 - v0) / nullif(p1 - p0, 0) * (pos - p0), v0), 6) as viewers from sided""",
+    "minute_viewers",
+)
+def w10_minutes(i):
+    known = F.when(F.expr("livestream_position div 60") % 4 == 1, F.col("average_concurrent_viewers"))
+    rows = P.current(i).select("video_id", "livestream_position", known.alias("known"))
+    return rounded(fill_linear(rows, ["video_id"], "livestream_position", "known", "viewers").drop("known"), 6, "viewers")
+
+
 @query(
     "w11_latest_n_window",
     "with " + P.WEEKS + """

@@ -1,38 +1,11 @@
 """Dense vectors held as arrays.
 
-``cosine`` and the sums are higher-order functions, right for a few vectors or
-few dimensions. For whole contexts of long vectors ``context_similarity`` works
-on Arrow batches with numpy; scores of 384 dimensions took a quarter of the time.
+Higher-order functions, right for a few vectors or few dimensions. Whole contexts
+of long vectors slide through Arrow batches in ``operators.trailing``.
 """
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
-
-
-@F.arrow_udf(DoubleType())
-def context_similarity(vector: pa.Array, context: pa.Array) -> pa.Array:
-    """Cosine of each vector and the mean of its context, an array of vectors.
-
-    NULL without a vector or a context; 0 when one side is all zeros.
-    """
-    usable = pc.and_(vector.is_valid(), pc.fill_null(pc.greater(pc.list_value_length(context), 0), False))
-    places = np.flatnonzero(usable.to_numpy(zero_copy_only=False))
-    scores = np.zeros(len(vector))
-    if places.size:
-        now, before = vector.take(pa.array(places)), context.take(pa.array(places))
-        a = now.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(places.size, -1)
-        flat = before.flatten().flatten().to_numpy(zero_copy_only=False).astype(float)
-        sizes = pc.list_value_length(before).to_numpy()
-        # Cosine ignores length, so the sum stands for the mean.
-        b = np.add.reduceat(flat.reshape(-1, a.shape[1]), np.cumsum(sizes) - sizes, axis=0)
-        norms = np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)
-        dots = np.einsum("ij,ij->i", a, b)
-        scores[places] = np.divide(dots, norms, out=np.zeros_like(dots), where=norms > 0)
-    return pa.array(scores, mask=~usable.to_numpy(zero_copy_only=False))
 
 
 def dot(a: Column, b: Column) -> Column:

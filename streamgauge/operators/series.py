@@ -145,37 +145,33 @@ def run_length(
     return rows.withColumn(out, run.cast("long")).drop("_at", "_near", "_seen", "_missed", "_run", "_carry", CHUNK)
 
 
-def trailing_values(df: DataFrame, keys: Sequence[str], order: str, value: str, n: int, out: str, span: float = 60 * 1024) -> DataFrame:
-    """Array of ``struct(v)`` with ``value`` on the up to ``n`` rows before, oldest first.
+def fill_linear(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, span: float = SPAN) -> DataFrame:
+    """``value`` with gaps filled on the straight line between the known rows on both sides.
 
-    NULL values keep their place, so the array is shorter than ``n`` only on
-    the first ``n`` rows of a series.
+    A gap at the end takes the last known value, one at the start stays NULL. Both
+    neighbours of a gap may lie any number of chunks away: a chunk's summary has
+    its first and last known row, and each chunk gets the nearest ones before and after it.
     """
-    chunked = with_chunk(df, order, span).withColumn("_boxed", F.struct(F.col(value).alias("v")))
-    newest = Window.partitionBy(*keys, CHUNK).orderBy(F.col(order).desc())
-    tails = (
-        chunked.select(*keys, order, CHUNK, "_boxed")
-        .withColumn("_back", F.row_number().over(newest))
-        .filter(F.col("_back") <= n)
-        .groupBy(*keys, CHUNK)
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(order), F.col("_boxed")))).alias("_tail"))
-        .withColumn("_tail", F.transform("_tail", lambda t: t["_boxed"]))
-    )
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(-n, -1)
-    carried = tails.select(
-        *keys, CHUNK, F.flatten(F.collect_list("_tail").over(earlier)).alias("_carry")
-    ).filter(F.size("_carry") > 0)
-    local = F.collect_list("_boxed").over(_inside(keys, order).rowsBetween(-n, -1))
-    empty = F.array().cast(tails.schema["_tail"].dataType)
-    whole = F.concat(F.coalesce("_carry", empty), F.col("_local"))
-    start = F.greatest(F.size("_whole") - n + 1, F.lit(1))
-    return (
-        chunked.join(carried, [*keys, CHUNK], "left")
-        .withColumn("_local", local)
-        .withColumn("_whole", F.when(F.size("_local") == n, F.col("_local")).otherwise(whole))
-        .withColumn(out, F.slice("_whole", start, F.lit(n)))
-        .drop("_boxed", "_carry", "_local", "_whole", CHUNK)
+    chunked = with_chunk(df, order, span).withColumn("_known", F.when(F.col(value).isNotNull(), F.struct(F.col(order).cast("double").alias("at"), F.col(value).cast("double").alias("v"))))
+    at = F.col("_known.at")
+    ends = chunked.groupBy(*keys, CHUNK).agg(F.min_by("_known", at).alias("_first"), F.max_by("_known", at).alias("_last"))
+    across, inside = _across(keys), _inside(keys, order)
+    carried = ends.select(
+        *keys,
+        CHUNK,
+        F.last("_last", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.first("_first", ignorenulls=True).over(across.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
+    ).filter("_before is not null or _after is not null")
+    rows = chunked.join(carried, [*keys, CHUNK], "left").withColumns(
+        {
+            "_low": F.coalesce(F.last("_known", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)), F.col("_before")),
+            "_high": F.coalesce(F.first("_known", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing)), F.col("_after")),
+        }
     )
+    step = F.try_divide(F.col("_high.v") - F.col("_low.v"), F.col("_high.at") - F.col("_low.at"))
+    line = F.col("_low.v") + step * (F.col(order) - F.col("_low.at"))
+    filled = F.coalesce(F.col(value).cast("double"), line, F.col("_low.v"))
+    return rows.withColumn(out, filled).drop("_known", "_before", "_after", "_low", "_high", CHUNK)
 
 
 def attach_group(

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamgauge.functions.text import blank_if_null
-from streamgauge.functions.vectors import context_similarity, text_if_covered, unless_blank
-from streamgauge.operators.series import trailing_values
+from streamgauge.functions.vectors import text_if_covered, unless_blank
+from streamgauge.operators.trailing import trailing_vectors
 from streamgauge.session import materialize
 from streamgauge.plans.retention import NO_LABEL, POSITION, VIDEO, viewer_shift_label
 
@@ -60,24 +60,20 @@ def semantic_shift(
     """
     sizes = [n] if isinstance(n, int) else list(n)
     masked = blank_uncovered(minutes, min_cov)
-    rows = trailing_values(masked, VIDEO, POSITION, "embedding", max(sizes), "_before")
+    rows = trailing_vectors(masked, VIDEO, POSITION, "embedding", sizes, "cosine")
     for size in sizes:
         needed = min_valid if min_valid is not None else MIN_VALID.get(size)
         rows = rows.withColumn(f"semantic_shift_{size}m", _shift(size, needed))
-    rows = rows.drop("_before")
+    rows = rows.drop("rows_before", *[f"{c}_{size}" for size in sizes for c in ("valid", "cosine")])
     return rows if keep_embedding else rows.drop("embedding")
 
 
 def _shift(size: int, needed: int | None):
-    before = F.col("_before")
-    recent = F.slice(before, F.greatest(F.size(before) - size + 1, F.lit(1)), F.lit(size))
-    spoken = F.filter(F.transform(recent, lambda b: b["v"]), lambda v: v.isNotNull())
-    early = F.size(before) < size
+    early = F.col("rows_before") < size
     if needed is None:
         return F.when(early, F.lit(0.0))
-    enough = ~early & F.col("embedding").isNotNull() & (F.size(spoken) >= needed)
-    similarity = context_similarity(F.col("embedding"), F.when(enough, spoken))
-    return F.when(early, F.lit(0.0)).otherwise(1 - similarity)
+    enough = F.col(f"valid_{size}") >= needed
+    return F.when(early, F.lit(0.0)).when(enough, 1 - F.col(f"cosine_{size}"))
 
 
 def sd_bands(df: DataFrame, col: str = "semantic_shift_5m", out: str | None = None) -> DataFrame:

@@ -80,17 +80,3 @@ def test_vectors(spark):
         vectors.vector_mean(F.slice(F.array("a", "b"), 1, 0)),
     ).first()
     assert row[0] == pytest.approx(0.96) and row[1] == 0 and row[2] == [3.5, 3.5] and row[3] is None
-
-
-def test_context_similarity(spark):
-    rows = [
-        ([1.0, 0.0], [[1.0, 0.0], [0.0, 1.0]]),
-        ([1.0, 0.0], [[0.0, 2.0]]),
-        ([0.0, 0.0], [[1.0, 1.0]]),
-        ([1.0, 0.0], []),
-        (None, [[1.0, 0.0]]),
-        ([1.0, 0.0], None),
-        ([3.0, 4.0], [[6.0, 8.0]]),
-    ]
-    got = values(spark, rows, "v array<float>, c array<array<float>>", vectors.context_similarity(F.col("v"), F.col("c")))
-    assert got == [pytest.approx(0.5**0.5), 0, 0, None, None, None, pytest.approx(1)]

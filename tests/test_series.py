@@ -99,20 +99,6 @@ def test_movement_streaks_both_forms(spark, seed, monkeypatch):
         assert got == want
 
 
-@pytest.mark.parametrize("n", [1, 5])
-def test_trailing_values(spark, n):
-    rows = make_rows(9)
-    df = spark.createDataFrame(rows, SCHEMA)
-    got = series.trailing_values(
-        df, ["video_id"], "livestream_position", "average_concurrent_viewers", n, "before", span=SPAN
-    )
-    want = {}
-    for items in by_video(rows).values():
-        for k, (v, p, x) in enumerate(items):
-            want[v, p] = [i[2] for i in items[max(0, k - n) : k]]
-    assert {(r.video_id, r.livestream_position): [b.v for b in r.before] for r in got.collect()} == want
-
-
 def test_attach_group(spark):
     rows = make_rows(10)
     df = spark.createDataFrame(rows, SCHEMA)
