@@ -134,8 +134,10 @@ def speaker_names(i: Input) -> DataFrame:
     "file_segments",
 )
 def s11(i):
-    lines = i.spark.read.schema("value string, video_id string").text(P.transcript_folder(i))
-    return lines.select("video_id", F.col("value").alias("line"))
+    folder = scratch_path(i.spark, "transcript_files")
+    transcripts.write_files(i.v("file_segments"), folder)
+    lines = i.spark.read.option("pathGlobFilter", "*.txt").text(folder)
+    return lines.select(text.file_stem(F.col("_metadata.file_path")).alias("video_id"), F.col("value").alias("line"))
 
 
 @query(
@@ -179,7 +181,9 @@ def s14(i):
 
 @query("s16_max_watermark_read", "select max(cast(ts as date)) as max_date from events")
 def s16(i):
-    return tables.max_date(i.t("events").select(F.to_date("ts").alias("date")))
+    root, days = scratch_path(i.spark, "days"), i.t("events").select(F.to_date("ts").alias("date"), F.col("props").alias("date_metrics"))
+    tables.load_stage(days, root, "sc_yt_day_data", "truncate")
+    return tables.newest_loaded(i.spark, root, "sc_yt_day_data")
 
 
 # ------------------------------------------- projections and predicates

@@ -9,8 +9,8 @@ from streamgauge.catalog import products as P
 from streamgauge.catalog.registry import Input, query
 from streamgauge.operators import loads
 from streamgauge.plans import transcript, vault
-from streamgauge.session import scratch_path
-from streamgauge.sources import tables
+from streamgauge.session import materialize, scratch_path
+from streamgauge.sources import buckets, tables
 
 ORDER_CUT = "1998-01-01"
 EVENT_CUT = "2024-01-15"
@@ -92,11 +92,16 @@ def day_parts(i: Input) -> tuple[DataFrame, DataFrame]:
     return rows.filter(F.col("load_ts") < EVENT_CUT), rows.filter(F.col("load_ts") >= EVENT_CUT)
 
 
-@query(
-    "l4_incremental_new_versions",
+NEW_VERSIONS = (
     DAY_LOADS + """
     select date, likes, views, estimated_minutes_watched, load_ts, hashdiff from versions v
-    where is_old or not exists (select 1 from versions o where o.is_old and o.date = v.date and o.hashdiff = v.hashdiff)""",
+    where is_old or not exists (select 1 from versions o where o.is_old and o.date = v.date and o.hashdiff = v.hashdiff)"""
+)
+
+
+@query(
+    "l4_incremental_new_versions",
+    NEW_VERSIONS,
     "stage_day",
 )
 def l4(i):
@@ -106,11 +111,29 @@ def l4(i):
     return tables.read_table(i.spark, path).select(*P.DAY_COLUMNS)
 
 
-@query(
-    "l5_delete_insert",
+def bucket_loads(i: Input, load) -> DataFrame:
+    """Both batches loaded into a target in buckets, of which a batch reads and writes its own."""
+    path = scratch_path(i.spark, "fact_buckets")
+    for part in day_parts(i):
+        load(materialize(vault.channel_daily(part, tie=["tie"]), "batch"), path)
+    return buckets.read_buckets(i.spark, path).select(*P.DAY_COLUMNS)
+
+
+@query("l4_bucket_versions", NEW_VERSIONS, "stage_day")
+def l4_buckets(i):
+    return bucket_loads(i, lambda batch, path: buckets.add_new_versions(batch, path, "date", 16))
+
+
+REPLACED = (
     DAY_LOADS + """
     select date, likes, views, estimated_minutes_watched, load_ts, hashdiff from versions v
-    where not is_old or date not in (select date from versions where not is_old)""",
+    where not is_old or date not in (select date from versions where not is_old)"""
+)
+
+
+@query(
+    "l5_delete_insert",
+    REPLACED,
     "stage_day",
 )
 def l5(i):
@@ -118,6 +141,11 @@ def l5(i):
     return loads.delete_insert(old, new, ["date"]).select(*P.DAY_COLUMNS)
 
 
+@query("l5_bucket_replace", REPLACED, "stage_day")
+def l5_buckets(i):
+    return bucket_loads(i, lambda batch, path: buckets.replace_keys(batch, path, ["date"], 16))
+
+
 @query(
     "l6_lookback_window",
     f"""with days as (select date_key, tie, cast(load_ts as date) as date from stage_day)

@@ -1,7 +1,7 @@
 """Batch jobs: land feeds into staging, build the warehouse, publish it to SQL.
 
     python -m streamgauge.jobs daily  --landing DIR --root DIR --mode append
-    python -m streamgauge.jobs weekly --landing DIR --root DIR --mode append
+    python -m streamgauge.jobs weekly --landing DIR --root DIR --mode append [--names CSV]
 
 ``landing`` holds folders of API responses (``videos``, ``minutes``,
 ``watched``, ``days``) and of transcripts (``transcripts``). ``root`` holds one
@@ -40,7 +40,7 @@ def stage_daily(spark: SparkSession, source: str, root: str, mode: str, today: d
         landing.first_row_values(landing.read_reports(spark, f"{source}/watched")),
     )
     days = landing.day_feed(landing.read_reports(spark, f"{source}/days"))
-    loaded = tables.read_table(spark, f"{root}/stage/{DAY}") if mode == "append" else None
+    loaded = tables.newest_loaded(spark, root, DAY).withColumnRenamed("max_date", "date") if mode == "append" else None
     tables.load_stage(combined, root, VIDEO, mode)
     tables.load_stage(lookback(days, loaded, "date", today, origin=ORIGIN), root, DAY, mode)
 
@@ -61,11 +61,15 @@ def stage_weekly(spark: SparkSession, source: str, root: str, mode: str, today:
 def load_product(
     spark: SparkSession, path: str, build: Callable[[DataFrame | None], DataFrame], truncate_reload: bool = False
 ) -> None:
-    """Append what the target lacks; a first or a truncating run builds the whole."""
+    """Append what the target lacks; a first or a truncating run builds the whole.
+
+    Of two runs at once the second one fails and adds nothing.
+    """
+    state = tables.table_state(spark, path)
     if truncate_reload:
-        tables.write_snapshot(build(None), path)
+        tables.write_snapshot(build(None), path, state)
     else:
-        tables.append_rows(build(tables.read_table(spark, path)), path)
+        tables.append_rows(build(tables.read_table(spark, path, at=state)), path, state)
 
 
 def build_raw_vault(spark: SparkSession, root: str, truncate_reload: bool = False) -> None:
@@ -120,6 +124,7 @@ def main() -> None:
     parser.add_argument("--mode", choices=tables.ACTIONS, required=True)
     parser.add_argument("--today", type=date.fromisoformat, default=date.today())
     parser.add_argument("--truncate-reload", action="store_true", help="rebuild satellites and fact as a whole")
+    parser.add_argument("--names", help="CSV of speaker names that replaces the lookup")
     args = parser.parse_args()
     spark = build_session(f"streamgauge {args.job}")
     if args.job == "daily":
@@ -128,6 +133,9 @@ def main() -> None:
     else:
         stage_weekly(spark, args.landing, args.root, args.mode, args.today)
         build_business_vault(spark, args.root)
+    if args.names:
+        load_names(spark, args.names, args.root)
+    publish(spark, args.root)
     spark.stop()
 
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from streamgauge.functions.text import file_stem
 
@@ -43,6 +48,97 @@ def segment_lines(segments: DataFrame) -> DataFrame:
     return segments.select("video_id", line.alias("value"))
 
 
+def _opened(folder: str) -> tuple[fs.FileSystem, str]:
+    """File system and path in it; a plain path is local to all, as a mounted share is."""
+    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+
+
+@dataclass
+class WrittenFiles(WriterCommitMessage):
+    folder: str
+
+
+class TranscriptWriter(DataSourceWriter):
+    """Lines to one ``<video_id>.txt`` per video: each task into a folder of its own, moved when all are done.
+
+    Rows come sorted by video, so a task has one file open and holds one line.
+    """
+
+    def __init__(self, folder: str, overwrite: bool):
+        self.folder, self.overwrite = folder.rstrip("/"), overwrite
+        self.waiting = f"{self.folder}/_waiting-{uuid.uuid4().hex}"
+
+    def write(self, iterator):
+        own = f"{self.waiting}/{uuid.uuid4().hex}"
+        files, path = _opened(own)
+        files.create_dir(path, recursive=True)
+        now, out = None, None
+        try:
+            for row in iterator:
+                if row.video_id != now:
+                    if out is not None:
+                        out.close()
+                    if not row.video_id or "/" in row.video_id or row.video_id.startswith((".", "_")):
+                        raise ValueError(f"no file can be named after video_id {row.video_id!r}")
+                    now, out = row.video_id, files.open_output_stream(f"{path}/{row.video_id}.txt")
+                out.write(f"{row.value}\n".encode())
+        finally:
+            if out is not None:
+                out.close()
+        return WrittenFiles(own)
+
+    def commit(self, messages):
+        """Move the files of all tasks that count; those of lost attempts go with the waiting folder."""
+        files, target = _opened(self.folder)
+        if self.overwrite:
+            old = files.get_file_info(fs.FileSelector(target, allow_not_found=True))
+            for info in old:
+                if info.type == fs.FileType.File and info.path.endswith(".txt"):
+                    files.delete_file(info.path)
+        for message in messages:
+            if message is not None:
+                for info in files.get_file_info(fs.FileSelector(_opened(message.folder)[1], allow_not_found=True)):
+                    files.move(info.path, f"{target}/{info.base_name}")
+        self._clear()
+
+    def abort(self, messages):
+        self._clear()
+
+    def _clear(self):
+        files, path = _opened(self.waiting)
+        if files.get_file_info(path).type != fs.FileType.NotFound:
+            files.delete_dir(path)
+
+
+class TranscriptFolder(DataSource):
+    """``df.write.format("transcripts")``: columns ``video_id`` and ``value``, one line a row."""
+
+    @classmethod
+    def name(cls):
+        return "transcripts"
+
+    def schema(self):
+        return "video_id string, value string"
+
+    def writer(self, schema, overwrite):
+        return TranscriptWriter(self.options["path"], overwrite)
+
+
+def write_files(segments: DataFrame, folder: str, mode: str = "append") -> None:
+    """One ``<video_id>.txt`` per video, lines by time; ``read_files`` reads them back.
+
+    A video is one file, so one task writes it, line by line. With ``append`` the
+    folder's other videos stay and those of ``segments`` are replaced; ``overwrite`` removes
+    the others. A job that fails leaves no file. Every id must do as a file name.
+    """
+    spark = segments.sparkSession
+    spark.dataSource.register(TranscriptFolder)
+    files, path = _opened(folder)
+    files.create_dir(path, recursive=True)
+    lines = segment_lines(segments.withColumn("video_id", F.col("video_id").cast("string")).repartition("video_id").sortWithinPartitions("video_id", "start_time", "end_time"))
+    lines.write.format("transcripts").option("path", folder).mode(mode).save()
+
+
 def write_partitioned(segments: DataFrame, folder: str, hours_per_file: int = 24) -> None:
     """Write one folder per video, cut into files by time so that no task holds a whole video."""
     part = F.floor(F.col("start_time") / (3600 * hours_per_file))

@@ -189,13 +189,3 @@ def test_feeds_landed_twice_give_one_row(spark):
     minutes = spark.createDataFrame([("a", "{}")], "video_id string, minute_metrics string")
     got = landing.combine_feeds(videos, minutes, landing.first_row_values(watched)).collect()
     assert [tuple(r) for r in got] == [("a", "new", "{}", 3.0)]
-
-
-def test_first_append_after_a_failed_one(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(3).write.parquet(f"{path}/v=0")
-    (tmp_path / "t" / "v=0" / "_SUCCESS").rename(tmp_path / "t" / "v=0" / "_left")
-    tables.append_rows(spark.range(3), path)
-    assert tables.read_table(spark, path).count() == 3
-    tables.append_rows(spark.range(3, 5), path)
-    assert tables.read_table(spark, path).count() == 5
