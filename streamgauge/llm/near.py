@@ -15,10 +15,12 @@ from streamgauge.llm.graph import components
 #: deviation of 6.4: one in 100,000 such pairs differs in over RADIUS or in over WHOLE_RADIUS.
 INDEXED, RADIUS = 64, 27
 SYMBOLS, WHOLE_RADIUS = 256, 80
-#: Rows of a bucket that are held against each other in one go.
-BLOCK = 512
-#: Rows of a bucket from which on it is worth counting what its texts share.
-CROWD = 32
+#: Rows of a bucket, or of a group of candidates, that are held against each other in one go, and bytes of their sets.
+BLOCK, BLOCK_BYTES = 512, 4 << 20
+#: Shared shingles that are counted in one go.
+COLUMNS = 4096
+#: Pairs that one task reduces to a spanning forest.
+EDGES = 50_000
 #: Most ids that are sent to all tasks, some 8 MB.
 MOST_BROADCAST = 1 << 19
 
@@ -175,60 +177,157 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     return stored(pairs.join(x, "a").join(y, "b").mapInArrow(compare, "a long, b long").distinct(), "near_links")
 
 
-def _across(members: DataFrame, percent: int = 0) -> DataFrame:
-    """Pairs of one bucket within the radius that lie in different components, each once.
+def _forest(left: np.ndarray, right: np.ndarray, parent: list[int]) -> list[int]:
+    """Which of the edges join two trees of ``parent``, which grows by them."""
+
+    def top(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept = []
+    for i, (a, b) in enumerate(zip(left.tolist(), right.tolist())):
+        a, b = top(a), top(b)
+        if a != b:
+            parent[b] = a
+            kept.append(i)
+    return kept
+
 
-    ``members`` has ``n`` shingles and ``shared`` of them that other open rows hold: a
-    pair shares at most the lesser ``shared``, which rules most pairs of heavily
-    edited copies out. A bucket is cut into blocks of about ``BLOCK`` rows and each
-    pair of blocks is a tile of its own, so the largest bucket is spread over many
-    tasks.
+def _reduced(pairs: DataFrame) -> DataFrame:
+    """Fewer pairs that join the same rows: a spanning forest of every ``EDGES`` of them.
+
+    Tiles of one large group find much the same rows under many keys; what they
+    return shrinks to about the group's rows before components are sought.
     """
 
     def run(batches):
-        rest = None
+        place, parent = {}, []
         for batch in batches:
-            rest = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            if rest.num_rows == 0:
-                continue
-            tile = rest.column("tile").to_numpy()
-            whole = int(np.flatnonzero(tile != tile[-1])[-1]) + 1 if (tile != tile[-1]).any() else 0
-            yield from compare(rest.slice(0, whole))
-            rest = rest.slice(whole)
-        if rest is not None:
-            yield from compare(rest)
-
-    def compare(rows):
-        if rows.num_rows < 2:
-            return
-        tile, rep, component, block, cut, slot, n, shared = (rows.column(c).to_numpy() for c in ("tile", "rep", "component", "block", "mixed", "slot", "n", "shared"))
-        sig = _unpacked(rows.column("sig"))
-        start = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
-        end = np.repeat(np.concatenate([start[1:], [len(tile)]]), np.diff(np.concatenate([start, [len(tile)]])))
-        later = end - np.arange(len(tile)) - 1
-        done, total = 0, np.concatenate([[0], np.cumsum(later)])
-        while done < len(tile):
-            stop = max(done + 1, int(np.searchsorted(total, total[done] + 50_000, "right")) - 1)
-            times = later[done:stop]
-            left = np.repeat(np.arange(done, stop), times)
-            right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(times) - times, times)
-            most = np.minimum(shared[left], shared[right])
-            use = (component[left] != component[right]) & ((block[left] != block[right]) == cut[left]) & (100 * most >= percent * (n[left] + n[right] - most))
-            left, right = left[use], right[use]
-            near = _close(sig[left], sig[right])
-            left, right = left[near], right[near]
-            near = first_slot(sig[left, :INDEXED], sig[right, :INDEXED]) == slot[left]
-            a, b = rep[left[near]], rep[right[near]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-            done = stop
-
-    blocks = F.ceil(F.col("n_members") / BLOCK).cast("int")
+            a, b = batch.column("a"), batch.column("b")
+            ends = []
+            for column in (a, b):
+                known = [place.setdefault(x, len(place)) for x in column.to_pylist()]
+                ends.append(np.array(known, np.int64))
+            parent.extend(range(len(parent), len(place)))
+            kept = pa.array(_forest(*ends, parent), pa.int64())
+            yield pa.RecordBatch.from_arrays([a.take(kept), b.take(kept)], ["a", "b"])
+
+    pairs = stored(pairs, "near_across")
+    return pairs.coalesce(max(1, -(-pairs.count() // EDGES))).mapInArrow(run, "a long, b long")
+
+
+def _tiles(batches):
+    """Whole tiles of rows that come sorted by tile, some at a time."""
+    rest = None
+    for batch in batches:
+        rest = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+        if rest.num_rows == 0:
+            continue
+        tile = rest.column("tile").to_numpy()
+        other = np.flatnonzero(tile != tile[-1])
+        whole = int(other[-1]) + 1 if len(other) else 0
+        if whole:
+            yield rest.slice(0, whole)
+        rest = rest.slice(whole)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _cut(rows: DataFrame, key: str, blocks) -> DataFrame:
+    """Rows of a key in every tile of theirs: one for each pair of the key's blocks, so a large key is spread over many tasks."""
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    tiled = (
-        members.withColumn("blocks", blocks).withColumn("block", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "rep", "component", "block", (F.col("block") != F.col("other")).alias("mixed"), F.col("key").bitwiseAND(INDEXED - 1).cast("int").alias("slot"), "n", "shared", "sig")
-    )
+    each = rows.withColumn("blocks", blocks).withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tile = F.xxhash64(key, F.least("block", "other"), F.greatest("block", "other"))
+    return each.withColumn("tile", tile).withColumn("mixed", F.col("block") != F.col("other")).drop("blocks", "other")
+
+
+def _across(members: DataFrame, percent: int = 0) -> DataFrame:
+    """Pairs of one bucket within the radius that lie in different components, as far as they join rows of a tile.
+
+    A tile compares all its pairs of signatures and returns a spanning forest of those
+    within the radius, so never more pairs than rows. A bucket is cut into
+    blocks of about ``BLOCK`` rows. Set sizes ``n`` rule out what they can.
+    """
+
+    def run(batches):
+        for rows in _tiles(batches):
+            tile, rep, component, block, cut, slot, n = (rows.column(c).to_numpy() for c in ("tile", "rep", "component", "block", "mixed", "slot", "n"))
+            sig = _unpacked(rows.column("sig"))
+            parent = list(range(len(tile)))
+            start = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
+            end = np.repeat(np.concatenate([start[1:], [len(tile)]]), np.diff(np.concatenate([start, [len(tile)]])))
+            later = end - np.arange(len(tile)) - 1
+            done, total = 0, np.concatenate([[0], np.cumsum(later)])
+            while done < len(tile):
+                stop = max(done + 1, int(np.searchsorted(total, total[done] + 50_000, "right")) - 1)
+                times = later[done:stop]
+                left = np.repeat(np.arange(done, stop), times)
+                right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(times) - times, times)
+                fits = 100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right])
+                use = (component[left] != component[right]) & ((block[left] != block[right]) == cut[left]) & fits
+                left, right = left[use], right[use]
+                near = _close(sig[left], sig[right])
+                left, right = left[near], right[near]
+                near = first_slot(sig[left, :INDEXED], sig[right, :INDEXED]) == slot[left]
+                left, right = left[near], right[near]
+                kept = _forest(left, right, parent)
+                yield pa.RecordBatch.from_arrays([pa.array(rep[left[kept]]), pa.array(rep[right[kept]])], ["a", "b"])
+                done = stop
+
+    tiled = _cut(members, "key", F.ceil(F.col("n_members") / BLOCK).cast("int"))
+    tiled = tiled.select("tile", "rep", "component", "block", "mixed", F.col("key").bitwiseAND(INDEXED - 1).cast("int").alias("slot"), "n", "sig")
+    return tiled.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long")
+
+
+def shared_sizes(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements every two different sets share, by products of their rows of marks."""
+    sizes = np.array([len(x) for x in sets])
+    of = np.repeat(np.arange(len(sets)), sizes)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(column, kind="stable")
+    several = count > 1
+    order = order[several[column[order]]]
+    place = (np.cumsum(several) - 1)[column[order]]
+    out = np.zeros((len(sets), len(sets)))
+    edges = np.searchsorted(place, np.arange(0, int(several.sum()) + COLUMNS, COLUMNS))
+    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        marks = np.zeros((len(sets), COLUMNS), np.float32)
+        marks[of[order[a:b]], place[a:b] - k * COLUMNS] = 1
+        out += marks @ marks.T
+    return out.astype(np.int64)
+
+
+def _linked(groups: DataFrame, percent: int) -> DataFrame:
+    """Links of full sets between components of one group of candidates, as a spanning forest of each tile.
+
+    ``groups`` has ``group``, ``rep``, ``component`` and the set ``held``. A group is
+    cut into blocks of some hundred rows and a few MB of sets, and every pair of
+    blocks is a tile: all its sets are compared exactly, and it returns fewer links than it has rows.
+    """
+
+    def run(batches):
+        for some in _tiles(batches):
+            tile = some.column("tile").to_numpy()
+            edges = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1], [True]]))
+            for a, b in zip(edges[:-1], edges[1:]):
+                rows = some.slice(a, b - a)
+                rep, component, block, cut = (rows.column(c).to_numpy() for c in ("rep", "component", "block", "mixed"))
+                if b - a < 2 or (component == component[0]).all():
+                    continue
+                sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("held").combine_chunks()]
+                n = np.array([len(x) for x in sets])
+                same = shared_sizes(sets)
+                linked = (same > 0) & (100 * same >= percent * (n[:, None] + n[None, :] - same))
+                linked &= (component[:, None] != component[None, :]) & ((block[:, None] != block[None, :]) == cut[0])
+                left, right = np.nonzero(np.triu(linked, 1))
+                kept = _forest(left, right, list(range(len(rep))))
+                yield pa.RecordBatch.from_arrays([pa.array(rep[left[kept]]), pa.array(rep[right[kept]])], ["a", "b"])
+
+    sizes = groups.groupBy("group").agg(F.count("*").alias("rows"), F.sum(F.octet_length("held")).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    tiled = _cut(groups.join(sizes, "group"), "group", blocks).select("tile", "rep", "component", "block", "mixed", "held")
     return tiled.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long")
 
 
@@ -247,19 +346,6 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return stored(docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(run, "doc_id long, held binary"), "near_sets")
 
 
-def _shared_counts(sets: DataFrame) -> DataFrame:
-    """``rep`` and how many of its shingles other rows of ``sets`` hold, too."""
-
-    def run(batches):
-        for batch in slices(batches, "held"):
-            data, borders = text_bytes(batch.column("held"))
-            ids = np.repeat(batch.column("doc_id").to_numpy(), np.diff(borders) // 8)
-            yield pa.RecordBatch.from_arrays([pa.array(data.view(np.int64)), pa.array(ids)], ["shingle", "rep"])
-
-    each = sets.mapInArrow(run, "shingle long, rep long").groupBy("shingle").agg(F.min("rep").alias("rep"), F.max("rep").alias("last"))
-    return each.filter("rep = last").groupBy("rep").agg(F.count("*").alias("alone"))
-
-
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Groups of documents linked by sets of word shingles that agree to ``percent`` or more.
 
@@ -272,9 +358,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     a key. First each bucket is held against one row only, the one that shares most
     keys, and what full sets confirm is joined to components: a bucket of a thousand
     copies needs a thousand comparisons. Then only buckets that still hold several
-    components are compared pair by pair, in tiles, and just across components. So no link that
-    could join two components is left out, and copies are never paired among
-    themselves.
+    components are compared pair by pair, in tiles, and just across components: pairs of
+    signatures within the radius give groups of candidates, and inside a group full sets are
+    compared tile by tile. A tile never returns more pairs than it has rows, so no link that
+    could join two components is left out, and pairs of a group never become rows.
 
     Words are lower-cased (A-Z only). A text with fewer words than a shingle is
     one shingle; null, empty and wordless texts have none and link with nothing.
@@ -301,16 +388,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     def placed(now):
         return stored(buckets.join(now, F.col("rep") == F.col("node"), "left").select("key", "rep", "n_members", F.coalesce("component", "rep").alias("component")), "near_placed")
 
-    # What is left: pairs across components, in tiles.
+    # What is left: pairs across components. Signatures group the rows that may be linked, full sets link them.
     rows = placed(found)
     several = rows.groupBy("key").agg((F.min("component") != F.max("component")).alias("several")).filter("several").select("key")
     open_rows = stored(rows.join(several, "key"), "near_open")
-    crowded = F.col("n_members") >= CROWD
-    alone = _shared_counts(_sets(docs, open_rows.filter(crowded).select(F.col("rep").alias("id")).distinct(), words))
-    known = open_rows.join(reps, "rep").join(alone, "rep", "left")
-    shared = F.when(crowded, F.col("n") - F.coalesce("alone", F.lit(0))).otherwise(F.col("n"))
-    across = stored(_across(known.select("key", "rep", "n_members", "component", "sig", "n", shared.alias("shared")), percent), "near_across").join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = _confirmed(_within_radius(across, reps, percent), docs, words, percent)
+    candidates = components(_reduced(_across(open_rows.join(reps, "rep").select("key", "rep", "n_members", "component", "sig", "n"), percent)))
+    groups = stored(candidates.select(F.col("node").alias("rep"), F.col("component").alias("group")), "near_groups")
+    sets = _sets(docs, groups.select(F.col("rep").alias("id")), words).dropDuplicates(["doc_id"])
+    own = groups.join(found, F.col("rep") == F.col("node"), "left").select("group", "rep", F.coalesce("component", "rep").alias("component"))
+    more = _reduced(_linked(own.join(sets, F.col("rep") == F.col("doc_id")).select("group", "rep", "component", "held"), percent))
     joined = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     return (

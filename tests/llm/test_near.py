@@ -66,14 +66,71 @@ def test_signatures_within_the_radius_share_a_key():
         assert (near.chunk_keys(a[None]) == near.chunk_keys(b[None])).any()
 
 
-def test_tiles_find_each_pair_of_a_large_bucket_once(spark, monkeypatch):
+def joined(pairs):
+    parent = {}
+
+    def top(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        parent[max(top(a), top(b))] = min(top(a), top(b))
+    return {x: top(x) for x in list(parent)}
+
+
+def test_tiles_join_a_large_bucket_with_few_pairs(spark, monkeypatch):
     monkeypatch.setattr(near, "BLOCK", 4)
     sig = bytes(near.SYMBOLS)
-    rows = [(key, i, 30, i % 7, sig, 10, 10) for i in range(30) for key in (64, 65)] + [(128, 100 + i, 2, i, sig, 10, 10) for i in range(2)]
-    rows += [(192, 200, 3, 200, sig, 10, 8), (192, 201, 3, 201, sig, 10, 9), (192, 202, 3, 202, sig, 10, 10)]
-    got = near._across(spark.createDataFrame(rows, "key long, rep long, n_members long, component long, sig binary, n long, shared long"), 80).collect()
-    want = {(a, b) for a in range(30) for b in range(a + 1, 30) if a % 7 != b % 7} | {(100, 101), (201, 202)}
-    assert {(r.a, r.b) for r in got} == want and len(got) == len(want)
+    far = bytes([9]) * near.SYMBOLS
+    rows = [(key, i, 30, i % 7, sig, 10) for i in range(30) for key in (64, 65)] + [(128, 100 + i, 3, i, sig, 10 + i * 3) for i in range(2)] + [(128, 110, 3, 9, far, 10)]
+    got = [(r.a, r.b) for r in near._across(spark.createDataFrame(rows, "key long, rep long, n_members long, component long, sig binary, n long"), 80).collect()]
+    assert all(a % 7 != b % 7 for a, b in got if a < 100)
+    assert joined(got) == {i: 0 for i in range(30)}
+    tiles = 8 * 9 / 2
+    assert len(got) < 30 + 8 * tiles
+
+
+def test_reduced_pairs_join_the_same_rows(spark):
+    dice = random.Random(4)
+    pairs = [(g * 100 + dice.randrange(20), g * 100 + dice.randrange(20)) for g in (0, 1, 2) for _ in range(400)]
+    got = [(r.a, r.b) for r in near._reduced(spark.createDataFrame(pairs, "a long, b long").repartition(5)).collect()]
+    assert set(got) <= set(pairs) and joined(got) == joined(pairs) and len(got) == 57
+
+
+def test_shared_sizes(monkeypatch):
+    monkeypatch.setattr(near, "COLUMNS", 3)
+    dice = random.Random(2)
+    sets = [sorted(dice.sample(range(40), dice.randint(0, 30))) for _ in range(12)]
+    got = near.shared_sizes([np.array(x, np.uint64) for x in sets])
+    assert [[got[i, j] for j in range(12) if j != i] for i in range(12)] == [[len(set(a) & set(b)) for j, b in enumerate(sets) if j != i] for i, a in enumerate(sets)]
+
+
+@pytest.mark.parametrize("block,size", [(512, 4 << 20), (3, 4 << 20), (512, 500)])
+def test_links_of_a_group_in_tiles(spark, monkeypatch, block, size):
+    monkeypatch.setattr(near, "BLOCK", block)
+    monkeypatch.setattr(near, "BLOCK_BYTES", size)
+    dice = random.Random(6)
+    sets = [frozenset(dice.sample(range(30), 24)) if i % 3 else frozenset(range(24)) - {dice.randrange(24)} for i in range(40)]
+    rows = [(i % 2, i, i % 11, np.array(sorted(x), np.uint64).tobytes()) for i, x in enumerate(sets)]
+    links = [(a, b) for a in range(40) for b in range(a + 1, 40) if a % 2 == b % 2 and a % 11 != b % 11 and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    got = [(r.a, r.b) for r in near._linked(spark.createDataFrame(rows, "group long, rep long, component long, held binary"), 80).collect()]
+    assert {(min(p), max(p)) for p in got} <= set(links) and joined(got) == joined(links)
+
+
+def test_decoys_below_the_threshold(spark):
+    """Two hundred copies that are close to each other, few of them close enough: the hard case for signatures."""
+    dice = random.Random(12)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(200):
+        w = list(base)
+        for p in dice.sample(range(80), dice.randint(4, 12)):
+            w[p] = f"x{dice.randrange(12) if dice.random() < 0.6 else i * 100 + p}"
+        rows.append((i, " ".join(w)))
+    got = near.near_duplicates(docs_of(spark, rows), words=2).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == groups(rows, 2, 80)
 
 
 def test_first_slot_names_the_first_equal_key():
