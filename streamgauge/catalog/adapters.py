@@ -50,9 +50,14 @@ SQL = {
     "stage_video": """
         select o_custkey as video_id, concat('src', cast(o_orderkey%4 as string)) as record_source,
                o_orderdate as load_ts, o_orderkey as tie,
-               case o_orderkey%3 when 0 then concat('SESSION 1 | ', o_orderpriority, ' | tail')
-                                 when 1 then concat('[Luton] talk ', o_orderstatus, ' - live')
-                                 else concat(o_orderpriority, ' | tail') end as title_raw,
+               case when o_orderkey%8 = 7 then concat('Series ', o_orderstatus, ' | ', o_orderpriority, ' | tail')
+                    when o_orderkey%3 = 0 then concat('SESSION 1 | ', o_orderpriority, ' | tail')
+                    when o_orderkey%3 = 1 then concat('[Luton] talk ', o_orderstatus, ' - live')
+                    else concat(o_orderpriority, ' | tail') end as title_raw,
+               case when o_orderkey%5 > 0 then concat('about ', o_orderpriority) end as description,
+               case when o_orderkey%4 > 0 then o_orderstatus end as topic,
+               cast(o_custkey%9 as string) as category,
+               case when o_orderkey%6 > 0 then cast(floor(o_totalprice/1000) as double) end as minutes_watched,
                concat('PT', cast(o_custkey%3 as string), 'H', cast(o_custkey%60 as string), 'M',
                       cast(o_orderkey%2 as string), 'S') as duration_iso,
                (o_custkey%3)*3600 + (o_custkey%60)*60 + o_orderkey%2 as duration_sec,
@@ -63,12 +68,19 @@ SQL = {
         select user_id as date_key, ts as load_ts, event_id as tie,
                cast(regexp_extract(props,'([0-9]+)',1) as int)%3 as likes,
                cast(regexp_extract(props,'([0-9]+)',1) as int)%2 as views,
+               cast(event_id as int)%2 as shares, cast(event_id as int)%3 as comments,
+               case when event_id%4 > 0 then cast(event_id as int)%2 end as dislikes,
+               cast(user_id as int)%5 as subscribers_lost, cast(user_id as int)%7 as subscribers_gained,
+               cast(floor(value/150) as int) as average_view_duration,
+               cast(floor(value/200) as double) as average_view_percentage,
                cast(floor(value/100) as double) as estimated_minutes_watched
         from {events}""",
     "channel_daily": """
         select cast(l_shipdate as date) as metric_date, l_returnflag as platform,
                cast(l_quantity as bigint) as subscribers_gained, cast(l_linenumber as bigint) as subscribers_lost,
                cast(l_quantity*10 as bigint) as views_count, cast(l_linenumber*2 as bigint) as likes_count,
+               cast(l_linenumber%3 as bigint) as dislikes_count, cast(l_quantity as bigint)%11 as comments_count,
+               cast(l_partkey%5 as bigint) as shares_count,
                cast(floor(l_extendedprice) as bigint) as estimated_watch_minutes
         from {lineitem}""",
     "embedded_minutes": """

@@ -1046,7 +1046,7 @@ def f5(i):
 
 @query(
     "f6_trim",
-    """select tie, trim(case when title_raw ilike 'session%' then split_part(title_raw, '|', 2)
+    """select tie, trim(case when title_raw ilike 'session%' or title_raw ilike 'series%' then split_part(title_raw, '|', 2)
                              when title_raw ilike '[luton%' then split_part(title_raw, '-', 1)
                              else split_part(title_raw, '|', 1) end) as title from stage_video""",
     "stage_video",

@@ -76,15 +76,13 @@ DAY_LOADS = """
              row_number() over (partition by date_key, cast(load_ts as date) order by load_ts desc, tie desc) as rn
       from stage_day
     ), hashed as (
-      select date_key as date, likes, views, estimated_minutes_watched, load_ts, tie, is_old,
-             md5(concat_ws('|', cast(likes as varchar), cast(views as varchar),
-                 cast(cast(estimated_minutes_watched as decimal(20,6)) as varchar))) as hashdiff
+      select date_key as date, {metrics}, load_ts, tie, is_old, md5(concat_ws('|', {hashed})) as hashdiff
       from newest where rn = 1
     ), versions as (
-      select date, likes, views, estimated_minutes_watched, load_ts, hashdiff, is_old from (
+      select date, {metrics}, load_ts, hashdiff, is_old from (
         select *, row_number() over (partition by is_old, date, hashdiff order by load_ts desc, tie desc) as r2
         from hashed) t where r2 = 1
-    )""".format(cut=EVENT_CUT)
+    )""".format(cut=EVENT_CUT, metrics=P.DAY_METRICS, hashed=P.DAY_HASHED_TEXT)
 
 
 def day_parts(i: Input) -> tuple[DataFrame, DataFrame]:
@@ -93,8 +91,8 @@ def day_parts(i: Input) -> tuple[DataFrame, DataFrame]:
 
 
 NEW_VERSIONS = (
-    DAY_LOADS + """
-    select date, likes, views, estimated_minutes_watched, load_ts, hashdiff from versions v
+    DAY_LOADS + f"""
+    select {P.DAY_METRICS}, date, load_ts, hashdiff from versions v
     where is_old or not exists (select 1 from versions o where o.is_old and o.date = v.date and o.hashdiff = v.hashdiff)"""
 )
 
@@ -125,8 +123,8 @@ def l4_buckets(i):
 
 
 REPLACED = (
-    DAY_LOADS + """
-    select date, likes, views, estimated_minutes_watched, load_ts, hashdiff from versions v
+    DAY_LOADS + f"""
+    select {P.DAY_METRICS}, date, load_ts, hashdiff from versions v
     where not is_old or date not in (select date from versions where not is_old)"""
 )
 
@@ -161,7 +159,7 @@ def l6(i):
 @query("l7_hash_versioning", f"{P.DAY_CTES} select * from versions", "stage_day")
 def l7(i):
     rows = i.v("stage_day").withColumnRenamed("date_key", "date")
-    versions = loads.hash_versions(rows, "date", ["likes", "views", "estimated_minutes_watched"], tie=["tie"])
+    versions = loads.hash_versions(rows, "date", vault.DAY_HASHED, tie=["tie"])
     return versions.select(*P.DAY_COLUMNS)
 
 

@@ -28,9 +28,12 @@ def video_stage(i: Input) -> DataFrame:
         F.col("video_id").cast("string").alias("id"),
         F.struct(
             F.col("title_raw").alias("title"),
+            F.col("description"),
             F.date_format("load_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
+            F.col("category").alias("categoryId"),
         ).alias("snippet"),
         F.struct(F.col("duration_iso").alias("duration")).alias("contentDetails"),
+        F.when(F.col("topic").isNotNull(), F.struct(F.array("topic", F.lit("talk")).alias("topicCategories"))).alias("topicDetails"),
         F.struct(
             F.col("like_count").cast("string").alias("likeCount"),
             F.col("view_count").cast("string").alias("viewCount"),
@@ -41,7 +44,7 @@ def video_stage(i: Input) -> DataFrame:
         "video_id",
         F.to_json(payload).alias("video_data"),
         F.lit(None).cast("string").alias("minute_metrics"),
-        F.lit(None).cast("double").alias("estimatedMinutesWatched"),
+        F.col("minutes_watched").alias("estimatedMinutesWatched"),
         "record_source",
         "load_ts",
         "tie",
@@ -68,11 +71,7 @@ def minute_stage(i: Input) -> DataFrame:
 
 def day_stage(i: Input) -> DataFrame:
     """Staging rows with the daily metrics as JSON."""
-    metrics = F.struct(
-        F.col("likes").cast("string").alias("likes"),
-        F.col("views").cast("string").alias("views"),
-        F.col("estimated_minutes_watched").alias("estimatedMinutesWatched"),
-    )
+    metrics = F.struct(*[F.col(c).cast("string").alias(m) for m, (c, _) in vault.DAY_METRIC_TYPES.items()])
     return i.v("stage_day").select(
         F.col("date_key").alias("date"), F.to_json(metrics).alias("date_metrics"), "load_ts", "tie"
     )
@@ -96,19 +95,23 @@ DETAIL_CTES = """
       select *, row_number() over (partition by video_id, cast(load_ts as date)
                                    order by load_ts desc, tie desc) as rn from stage_video
     ), typed as (
-      select video_id, title_raw as video_title_raw,
-             trim(case when title_raw ilike 'session%' then split_part(title_raw, '|', 2)
+      select video_id, title_raw as video_title_raw, topic,
+             trim(case when title_raw ilike 'session%' or title_raw ilike 'series%' then split_part(title_raw, '|', 2)
                        when title_raw ilike '[luton%' then split_part(title_raw, '-', 1)
                        else split_part(title_raw, '|', 1) end) as video_title,
+             description as video_description,
              load_ts as video_published_at, cast(duration_sec as double) as video_duration_sec,
+             concat('["' || topic, '","talk"]') as video_topic_text, category as video_category,
              cast(like_count as int) as likes_count, cast(view_count as int) as view_count,
-             cast(comment_count as int) as comment_count, load_ts, tie
+             cast(comment_count as int) as comment_count, minutes_watched as estimated_minutes_watched, load_ts, tie
       from src where rn = 1
     ), hashed as (
-      select *, md5(concat_ws('|', video_title, cast(video_published_at as varchar),
+      select *, case when topic is not null then video_topic_text end as video_topic,
+             md5(concat_ws('|', video_title, video_description, cast(video_published_at as varchar),
                     cast(cast(video_duration_sec as decimal(20,6)) as varchar),
-                    cast(likes_count as varchar), cast(view_count as varchar),
-                    cast(comment_count as varchar))) as hashdiff from typed
+                    case when topic is not null then video_topic_text end, video_category,
+                    cast(likes_count as varchar), cast(view_count as varchar), cast(comment_count as varchar),
+                    cast(cast(estimated_minutes_watched as decimal(20,6)) as varchar))) as hashdiff from typed
     ), details as (
       select * from (select *, row_number() over (partition by video_id, hashdiff
                                                   order by load_ts desc, tie desc) as r2 from hashed) t
@@ -116,8 +119,8 @@ DETAIL_CTES = """
     )"""
 
 DETAIL_COLUMNS = (
-    "video_id, video_title_raw, video_title, video_published_at, video_duration_sec, "
-    "likes_count, view_count, comment_count, load_ts, hashdiff"
+    "video_id, video_title_raw, video_title, video_description, video_published_at, video_duration_sec, "
+    "video_topic, video_category, likes_count, view_count, comment_count, estimated_minutes_watched, load_ts, hashdiff"
 )
 
 
@@ -155,23 +158,28 @@ def m3(i):
     return vault.sat_minute_viewers(minute_stage(i))
 
 
-DAY_CTES = """
+DAY_COLUMNS = ["date", *vault.DAY_HASHED, "load_ts", "hashdiff"]
+
+DAY_METRICS = ", ".join(vault.DAY_HASHED)
+# Doubles hash at a fixed scale.
+DAY_HASHED_TEXT = ", ".join(
+    f"cast(cast({c} as decimal(20,6)) as varchar)" if kind == "double" else f"cast({c} as varchar)"
+    for c in vault.DAY_HASHED for name, kind in vault.DAY_METRIC_TYPES.values() if name == c
+)
+
+DAY_CTES = f"""
     with newest as (
       select *, row_number() over (partition by date_key, cast(load_ts as date)
                                    order by load_ts desc, tie desc) as rn from stage_day
     ), hashed as (
-      select date_key as date, likes, views, estimated_minutes_watched, load_ts, tie,
-             md5(concat_ws('|', cast(likes as varchar), cast(views as varchar),
-                 cast(cast(estimated_minutes_watched as decimal(20,6)) as varchar))) as hashdiff
+      select date_key as date, {DAY_METRICS}, load_ts, tie, md5(concat_ws('|', {DAY_HASHED_TEXT})) as hashdiff
       from newest where rn = 1
     ), versions as (
-      select date, likes, views, estimated_minutes_watched, load_ts, hashdiff from (
+      select date, {DAY_METRICS}, load_ts, hashdiff from (
         select *, row_number() over (partition by date, hashdiff order by load_ts desc, tie desc) as r2
         from hashed) t where r2 = 1
     )"""
 
-DAY_COLUMNS = ["date", "likes", "views", "estimated_minutes_watched", "load_ts", "hashdiff"]
-
 
 @query("m4_channel_daily", f"{DAY_CTES} select * from versions", "stage_day")
 def m4(i):
@@ -182,7 +190,7 @@ def m4(i):
     "m38_presentation_views",
     f"""{DETAIL_CTES}
     select video_id, video_title, video_published_at, likes_count as video_likes, view_count as video_views,
-           comment_count as video_comments, video_duration_sec,
+           comment_count as video_comments, estimated_minutes_watched as video_estimated_minutes_watched, video_duration_sec,
            case when video_duration_sec >= 3600 then 'Livestream' else 'Short' end as video_type,
            split_part(video_title_raw, '|', 2) as video_speaker
     from (select *, row_number() over (partition by video_id order by load_ts desc, hashdiff desc) as r3 from details) t
@@ -192,22 +200,21 @@ def m4(i):
 def m38(i):
     kind = F.when(F.col("video_duration_sec") >= 3600, "Livestream").otherwise("Short")
     speaker = F.split_part("video_title_raw", F.lit("|"), F.lit(2))
-    view = vault.dim_video(details(i), kind, speaker, tie=["hashdiff"])
-    return view.drop("video_estimated_minutes_watched")
+    return vault.dim_video(details(i), kind, speaker, tie=["hashdiff"])
 
 
 @query(
     "m38_presentation_daily",
     f"""{DAY_CTES}
-    select date as metric_date, 'YOUTUBE' as platform, likes as likes_count, views as views_count,
+    select date as metric_date, 'YOUTUBE' as platform, subscribers_gained, subscribers_lost, views as views_count,
+           likes as likes_count, dislikes as dislikes_count, comments as comments_count, shares as shares_count,
            estimated_minutes_watched as estimated_watch_minutes
     from (select *, row_number() over (partition by date order by load_ts desc, hashdiff desc) as r3 from versions) t
     where r3 = 1""",
     "stage_day",
 )
 def m38_daily(i):
-    rows = vault.fct_daily(vault.channel_daily(day_stage(i), tie=["tie"]), tie=["hashdiff"])
-    return rows.select("metric_date", "platform", "likes_count", "views_count", "estimated_watch_minutes")
+    return vault.fct_daily(vault.channel_daily(day_stage(i), tie=["tie"]), tie=["hashdiff"])
 
 
 @query(
@@ -703,34 +710,47 @@ def m20(i):
     return rounded(rows, 6, "derived_metric")
 
 
+# The cards' metrics by week, one row per card.
+CARD_ROWS = " union all ".join(
+    f"select week, platform, '{card}' as card, cast({metrics[0]} as double) as top, "
+    f"{f'cast({metrics[1]} as double)' if len(metrics) == 2 else 'cast(null as double)'} as bottom, {len(metrics) == 2} as is_ratio from sums"
+    for card, metrics in kpi.CARDS.items()
+)
+CARD_SUMS = ", ".join(
+    f"sum({'subscribers_gained - subscribers_lost' if m == 'net_subscribers' else m}) as {m}" for m in sorted({m for ms in kpi.CARDS.values() for m in ms})
+)
+
+
 @query(
     "m21_kpi_summary",
-    "with " + WEEKS + """,
-    totals as (
-      select platform, 'Subscribers' as card, format('{:,}', cast(sum(s) as bigint)) as total from weeks group by 1
-      union all
-      select platform, 'Minutes per view', format('{:,.2f}', sum(w) / cast(sum(v) as double)) from weeks group by 1
-    ), ends as (
-      select platform, max(week_commencing_dt) as week,
-             max(s) filter (point_type = 'COMPARISON - ACTUAL') as sa,
-             max(s) filter (point_type = 'COMPARISON - PREDICTED') as sp,
-             max(w / v) filter (point_type = 'COMPARISON - ACTUAL') as ra,
-             max(w / v) filter (point_type = 'COMPARISON - PREDICTED') as rp
-      from compared where point_type <> 'ACTUAL' group by platform
+    f"""with sums as (
+      select cast(date_trunc('week', metric_date) as date) as week, platform, {CARD_SUMS} from channel_daily group by 1, 2
+    ), long as ({CARD_ROWS}
+    ), ranked as (
+      select *, row_number() over (partition by platform, card order by week desc) as rn, week - date '1970-01-01' as d from long
+    ), totals as (
+      select platform, card, case when is_ratio then format('{{:,.2f}}', sum(top) / sum(bottom)) else format('{{:,}}', cast(sum(top) as bigint)) end as total
+      from long group by platform, card, is_ratio
+    ), lines as (
+      select platform, card, is_ratio, max(week) + 7 as week, cast(max(week) + 7 as date) - date '1970-01-01' as d,
+             regr_slope(top, d) as a1, regr_intercept(top, d) as b1, regr_slope(bottom, d) as a2, regr_intercept(bottom, d) as b2
+      from ranked where rn between 3 and 14 group by platform, card, is_ratio
+    ), predicted as (
+      select *, round_even(round(a1 * d + b1, 6), 0) as top, round_even(round(a2 * d + b2, 6), 0) as bottom from lines
     ), texts as (
-      select platform, 'Subscribers' as card, week, coalesce(sa / nullif(sp, 0) - 1, 0) as dev from ends
-      union all
-      select platform, 'Minutes per view', week, coalesce(ra / nullif(rp, 0) - 1, 0) from ends
+      select a.platform, a.card, greatest(a.week, cast(p.week as date)) as week,
+             case when a.is_ratio then a.top / a.bottom else a.top end as actual,
+             case when p.is_ratio then p.top / p.bottom else p.top end as predicted
+      from ranked a join predicted p on a.platform = p.platform and a.card = p.card where a.rn = 2
     )
-    select totals.platform, totals.card, total,
-           concat('WC ', strftime(week, '%d %b %Y'), ': ', cast(cast(round_even(round(dev * 100, 6), 0) as bigint) as varchar),
-                  '% vs forecast') as deviation
-    from totals join texts on totals.platform = texts.platform and totals.card = texts.card""",
+    select t.platform, t.card, t.total,
+           concat('WC ', strftime(week, '%d %b %Y'), ': ',
+                  cast(cast(round_even(round(coalesce(actual / nullif(predicted, 0) - 1, 0) * 100, 6), 0) as bigint) as varchar), '% vs forecast') as deviation
+    from totals t join texts x on t.platform = x.platform and t.card = x.card""",
     "channel_daily",
 )
 def m21(i):
-    cards = {"Subscribers": ["net_subscribers"], "Minutes per view": ["estimated_watch_minutes", "views_count"]}
-    return kpi.kpi_cards(daily(i), cards)
+    return kpi.kpi_cards(daily(i))
 
 
 @query(
