@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from streamgauge.catalog.registry import Input, query
 from streamgauge.operators.latest import latest_per
-from streamgauge.plans import curves, engagement, forecast, kpi, retention, semantic, transcript, vault
+from streamgauge.plans import curves, engagement, forecast, kpi, retention, semantic, transcript, vault, wordvectors
 from streamgauge.sources import landing, transcripts
 from streamgauge.session import materialize, scratch_path
 
@@ -662,6 +662,27 @@ def g1(i):
     return semantic.embed_text(docs).select("doc_id", "embedding")
 
 
+@query("g1_word_vectors")
+def g1_trained(i):
+    """Every turn by vectors of words that are trained on all turns."""
+    turns = i.t("conversations").select("conv_id", "turn", "text")
+    vectors = materialize(wordvectors.word_vectors(turns), "word_vectors")
+    return wordvectors.embed_by_words(turns, vectors).select("conv_id", "turn", "embedding")
+
+
+@query(
+    "g1_pair_counts",
+    r"""with words as (select conv_id, turn, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from conversations),
+    places as (select w, unnest(range(1, len(w) + 1)) as p from words),
+    common as (select w[p] as word from places group by 1 having count(*) >= 5),
+    near as (select w[p] as a, w[p + d] as b from places, (select unnest([1, 2, 3, 4]) as d) gaps where p + d <= len(w)),
+    two_way as (select a, b from near union all select b, a from near)
+    select a, b, cast(count(*) as bigint) as n from two_way where a in (select word from common) and b in (select word from common) group by a, b""",
+)
+def g1_pairs(i):
+    return wordvectors.pair_counts(i.t("conversations"))
+
+
 # ------------------------------------------------------------------ KPI
 
 NET = ", daily as (select *, subscribers_gained - subscribers_lost as net_subscribers from channel_daily)"
