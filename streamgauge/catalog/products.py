@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from streamgauge.catalog.registry import Input, query
 from streamgauge.operators.latest import latest_per
-from streamgauge.plans import curves, engagement, forecast, kpi, retention, semantic, transcript, vault, wordvectors
+from streamgauge.plans import curves, engagement, forecast, kpi, retention, semantic, transcript, trend, vault, wordvectors
 from streamgauge.sources import landing, transcripts
 from streamgauge.session import materialize, scratch_path
 
@@ -871,6 +871,12 @@ def g2(i):
     return forecast.long_forecast(i.v("channel_daily"), UNTIL)
 
 
+@query("g2_trend_changes")
+def g2_changes(i):
+    weekly = kpi.week_rollup(daily(i), ["net_subscribers"])
+    return trend.trend_changes(trend.fit_trends(weekly.select(F.col("week_commencing_dt").alias("ds"), "platform", F.col("net_subscribers").alias("y"))))
+
+
 # ----------------------------------------------------------- engagement
 
 ENGAGED = """

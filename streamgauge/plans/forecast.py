@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from streamgauge.functions.numbers import truncated_percent_text
 from streamgauge.functions.times import weekly_mondays, weekly_sundays
 from streamgauge.plans.kpi import week_rollup, with_net_subscribers
-
-YEAR_DAYS = 365.25
+from streamgauge.plans.trend import YEAR_DAYS, changepoint_fit
 
 
 def seasonal_fit(order: int = 3, ridge: float = 1.0) -> Callable[[DataFrame], DataFrame]:
@@ -83,12 +82,12 @@ def long_forecast(
     fitter: Callable[[DataFrame], DataFrame] | None = None,
     align: str = "sunday",
 ) -> DataFrame:
-    """Net subscribers per week, predicted up to ``until``, with running totals."""
+    """Net subscribers per week, predicted up to ``until``, with running totals; a bending trend unless a fitter is given."""
     weekly = week_rollup(with_net_subscribers(daily), ["net_subscribers"]).select(
         F.col("week_commencing_dt").alias("ds"), "platform", F.col("net_subscribers").cast("double").alias("y")
     )
     frame = weekly.unionByName(future_weeks(weekly, until, align), allowMissingColumns=True)
-    return running_totals((fitter or seasonal_fit())(frame))
+    return running_totals((fitter or changepoint_fit())(frame))
 
 
 def goal_deviation(forecast: DataFrame, goals: Mapping[str, float]) -> DataFrame:

@@ -52,7 +52,7 @@ def test_whole_inventory_is_registered():
 
 
 def test_only_model_fits_lack_sql():
-    assert set(KEYS) - set(all_oracles()) == {"g1_embed_text", "g1_word_vectors", "g2_series_forecast", "m32_curve_clusters"}
+    assert set(KEYS) - set(all_oracles()) == {"g1_embed_text", "g1_word_vectors", "g2_series_forecast", "g2_trend_changes", "m32_curve_clusters"}
 
 
 @pytest.mark.parametrize("deleted", [["streamgauge/llm", "corpus_pipeline.py"], ["streamgauge/llm"], ["corpus_pipeline.py"]])
