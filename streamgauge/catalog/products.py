@@ -873,8 +873,12 @@ def g2(i):
 
 @query("g2_trend_changes")
 def g2_changes(i):
+    """How often each platform's slope changes, by how much in all, and the noise around its trend."""
     weekly = kpi.week_rollup(daily(i), ["net_subscribers"])
-    return trend.trend_changes(trend.fit_trends(weekly.select(F.col("week_commencing_dt").alias("ds"), "platform", F.col("net_subscribers").alias("y"))))
+    models = trend.fit_trends(weekly.select(F.col("week_commencing_dt").alias("ds"), "platform", F.col("net_subscribers").alias("y")))
+    bends = trend.trend_changes(models).groupBy("platform").agg(F.count("*").alias("n_changes"), F.sum(F.abs("change")).alias("all_changes"))
+    noise = models.select("platform", "rows", (F.col("sigma") * F.col("scale")).alias("noise"))
+    return noise.join(bends, "platform", "left").fillna(0, ["n_changes", "all_changes"])
 
 
 # ----------------------------------------------------------- engagement
