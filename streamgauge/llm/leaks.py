@@ -1,4 +1,4 @@
-"""Benchmark passages in training text: seeds, counted along their offset, then an overlap that tolerates substitutions.
+"""Benchmark passages in training text: spaced seeds, then an overlap that tolerates substitutions.
 
 DataFrame functions only.
 """
@@ -12,12 +12,11 @@ from pyspark.sql import functions as F
 
 from streamgauge.llm.common import stored
 
-#: Positions of a window of SPAN tokens that a mask looks at. Five substitutions leave three tokens in a row equal
-#: somewhere in 20, and so does a quarter of substituted tokens in any item of 9 to 19 tokens.
-MASKS = ((0, 1, 2),)
-SPAN = 3
-#: Shorter items match nothing.
-SHORTEST = 9
+#: Fixed masks: the positions they look at; the first ignores position 3, the second 1 and 2. By enumeration no quarter
+#: of substituted tokens in 9 to 20 spoils all places of both, and no single spaced mask of four tokens does as well.
+MASKS = ((0, 1, 2, 4), (0, 3, 4, 5))
+#: Items of fewer tokens than this have no place for a mask under every allowed substitution; they must stand verbatim.
+MASKED = 9
 #: An overlap counts if SHARE of the tokens of some stretch of WINDOW of an item stand in the document in step.
 WINDOW, SHARE = 20, 0.75
 #: Most rows of a side that is sent to all tasks, some 10 MB; a larger one is joined by shuffles.
@@ -29,24 +28,32 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seed(mask: int, at: Column) -> Column:
-    """Hash of the tokens that a mask looks at from position ``at`` (from 0) of the token hashes ``codes``."""
-    return F.xxhash64(F.lit(mask), *[F.get("codes", at + i) for i in MASKS[mask]])
+Mask = tuple[int, tuple[int, ...]]
+
+
+def _masks(runs: list[int]) -> list[Mask]:
+    """The fixed masks, and one for each length of a verbatim item that looks at all its tokens, with their numbers."""
+    return [*enumerate(MASKS), *[(1000 + n, tuple(range(n))) for n in runs]]
+
+
+def _seed(mask: Mask, at: Column) -> Column:
+    """Hash of the tokens that a mask looks at from position ``at`` (from 0) of the token hashes ``codes``; null beyond their end."""
+    number, looks = mask
+    return F.when(at + looks[-1] < F.size("codes"), F.xxhash64(F.lit(number), *[F.get("codes", at + i) for i in looks]))
 
 
 def _places() -> Column:
-    """All positions at which a whole window starts."""
-    return F.when(F.size("codes") >= SPAN, F.sequence(F.lit(0), F.greatest(F.size("codes") - SPAN, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    return F.when(F.size("codes") > 0, F.sequence(F.lit(0), F.greatest(F.size("codes") - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
 
 
-def _seeds(df: DataFrame, keep: list[str], places: Column) -> DataFrame:
+def _seeds(df: DataFrame, keep: list[str], places: Column, masks: list[Mask]) -> DataFrame:
     """A row for each of ``places`` (``at``) and mask, with the ``seed`` there.
 
     Outer explodes: the others would have Spark test the arrays for emptiness in a
     filter below, which computes all that leads to them anew for each position.
     """
     placed = df.select(*keep, "codes", F.explode_outer(places).alias("at")).filter(F.col("at").isNotNull())
-    return placed.select(*keep, "at", F.explode_outer(F.array(*[_seed(m, F.col("at")) for m in range(len(MASKS))])).alias("seed"))
+    return placed.select(*keep, "at", F.explode_outer(F.array(*[_seed(m, F.col("at")) for m in masks])).alias("seed")).filter("seed is not null")
 
 
 #: A table of 64 * 2 ** SLOT_BITS bits tells most seeds apart that no item has; beyond some million seeds it lets all pass.
@@ -77,38 +84,42 @@ def _small(df: DataFrame) -> DataFrame:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """Documents that hold passages of ``benchmark`` (``item_id``, ``text``), also with some tokens substituted.
 
-    Seeds of both sides are joined; a table of bits of fixed size first drops most
+    Spaced seeds of both sides are joined; a table of bits of fixed size first drops most
     positions of a document that no item's seed can meet. Each joined pair names a
-    document, an item and the offset between them. A substitution spoils at most
-    ``SPAN`` seeds, so a leak has a least number of seeds at its offset, and offsets
-    with fewer go. For the default ``window`` and ``share`` this misses none. Along an offset, document and item are compared
+    document, an item and the offset between them. Along an offset, document and item are compared
     token by token. A pair is a leak if in some stretch of ``window`` tokens of the
-    item (of a shorter item, all) at least ``share`` are equal. Returns ``doc_id``,
+    item (of a shorter item, all) at least ``share`` are equal. For the default ``window``
+    and ``share`` the masks miss none. Returns ``doc_id``,
     ``item_id``, ``offset`` and ``matched`` (equal tokens of the best stretch), a row
     for each leak at its best offset, the smallest of equally good ones.
 
-    Items of fewer than ``SHORTEST`` tokens match nothing; nor do null
-    and empty texts. Rows without an id are not compared. Rows of one id are
+    An item of fewer than ``MASKED`` tokens is a leak where all its tokens stand in a row;
+    its seed is the whole item. Null
+    and empty texts match nothing. Rows without an id are not compared. Rows of one id are
     compared each and reported together. Empty tables give an empty table; other
     columns are ignored. Seeds are dealt over tasks by document, so one that a third
     of all documents share gathers nowhere; only pairs with the benchmark arise.
     """
-    items = benchmark.filter("item_id is not null").select("item_id", tokens(F.col("text")).alias("tokens")).filter(F.size("tokens") >= SHORTEST)
+    items = benchmark.filter("item_id is not null").select("item_id", tokens(F.col("text")).alias("tokens")).filter(F.size("tokens") > 0)
     codes = F.transform("tokens", lambda t: F.xxhash64(t)).alias("codes")
-    least = F.least(F.lit(window), F.size("tokens"))
-    need = F.greatest(least - SPAN + 1 - SPAN * (least - F.ceil(least * share)), F.lit(1)).cast("int").alias("need")
-    wanted = stored(_seeds(items.select("item_id", need, codes), ["item_id", "need"], _places()).select("seed", "item_id", "need", F.col("at").alias("item_at")).distinct(), "leak_seeds")
+    coded = items.select("item_id", codes)
+    runs = sorted(r[0] for r in coded.filter(F.size("codes") < MASKED).select(F.size("codes")).distinct().collect())
+    masks = _masks(runs)
+    wanted = _seeds(coded.filter(F.size("codes") >= MASKED), ["item_id"], _places(), _masks([]))
+    for n in runs:
+        wanted = wanted.union(_seeds(coded.filter(F.size("codes") == n), ["item_id"], F.array(F.lit(0)), [(1000 + n, tuple(range(n)))]))
+    wanted = stored(wanted.select("seed", "item_id", F.col("at").alias("item_at")).distinct(), "leak_seeds")
     words = docs.filter("doc_id is not null").select("doc_id", tokens(F.col("text")).alias("tokens"))
     bits = stored(_bit_table(wanted), "leak_bits")
 
     def may_hit(at: Column) -> Column:
-        seeds = [_seed(m, at) for m in range(len(MASKS))]
+        seeds = [_seed(m, at) for m in masks]
         return functools.reduce(Column.__or__, [F.getbit(F.get("bits", _slot(x)), _bit(x)) == 1 for x in seeds])
 
     coded = words.select("doc_id", codes, bits.select("table").scalar().alias("bits"))
     placed = coded.select("doc_id", "codes", F.filter(_places(), may_hit).alias("places"))
-    hits = _seeds(placed, ["doc_id"], F.col("places")).join(_small(wanted), "seed").groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("offset"))
-    hits = stored(hits.agg(F.count("*").alias("n"), F.min("need").alias("need")).filter("n >= need").select("doc_id", "item_id", "offset"), "leak_hits")
+    hits = _seeds(placed, ["doc_id"], F.col("places"), masks).join(_small(wanted), "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("offset"))
+    hits = stored(hits.distinct(), "leak_hits")
     near = hits.groupBy("doc_id", "item_id").agg(F.collect_set("offset").alias("offsets"))
     near = stored(near.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "offsets")).alias("near")), "leak_places")
 
@@ -126,7 +137,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shar
     )
     found = (
         pairs.filter(length > 0).select("doc_id", "item_id", "offset", stretch.alias("stretch"), equal.alias("equal"))
-        .withColumn("matched", F.array_max(sums)).filter(F.col("matched") >= F.col("stretch") * share)
+        .withColumn("matched", F.array_max(sums)).filter(F.col("matched") >= F.col("stretch") * F.when(F.col("stretch") < MASKED, F.lit(1.0)).otherwise(F.lit(share)))
     )
     return found.groupBy("doc_id", "item_id").agg(
         F.min_by("offset", F.struct(-F.col("matched"), "offset")).cast("long").alias("offset"), F.max("matched").cast("long").alias("matched")

@@ -111,20 +111,26 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leak_report(docs, leaks.find_leaks(docs, table(spark, sf_dir, "benchmark")))
 
 
-#: The same masks, stretches and share, on tokens instead of their hashes.
+#: The same masks, stretches and share, on tokens instead of their hashes; short items by all their tokens.
 LEAK_CTES = r"""
 d as (select doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as t from docs),
 b as (select item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as t from benchmark),
-dp as (select doc_id, t, unnest(range(len(t) - 8)) as p from d where len(t) >= 9),
-bp as (select item_id, t, unnest(range(len(t) - 8)) as p from b where len(t) >= 9),
-ds as (select doc_id, p, unnest([[ '0', t[p+1], t[p+2], t[p+4], t[p+5], t[p+7], t[p+8]], ['1', t[p+1], t[p+3], t[p+4], t[p+6], t[p+8], t[p+9]]]) as seed from dp),
-bs as (select item_id, p, unnest([[ '0', t[p+1], t[p+2], t[p+4], t[p+5], t[p+7], t[p+8]], ['1', t[p+1], t[p+3], t[p+4], t[p+6], t[p+8], t[p+9]]]) as seed from bp),
-hits as (select distinct doc_id, item_id, ds.p - bs.p as k from ds join bs using (seed)),
+dp as (select doc_id, t, unnest(range(len(t))) as p from d),
+bp as (select item_id, t, unnest(range(len(t))) as p from b where len(t) >= 9),
+short as (select item_id, t, 0 as p from b where len(t) between 1 and 8),
+masks as (select unnest([[0, 1, 2, 4], [0, 3, 4, 5]]) as m),
+lengths as (select distinct len(t) as n from short),
+ds as (select doc_id, p, list_transform(m, lambda i: t[p + i + 1]) as seed, cast(m as varchar) as kind from dp, masks where p + m[4] < len(t)
+       union all select doc_id, p, t[p + 1 : p + n], cast(n as varchar) from dp, lengths where p + n <= len(t)),
+bs as (select item_id, p, list_transform(m, lambda i: t[p + i + 1]) as seed, cast(m as varchar) as kind from bp, masks where p + m[4] < len(t)
+       union all select item_id, p, t, cast(len(t) as varchar) from short),
+hits as (select distinct doc_id, item_id, ds.p - bs.p as k from ds join bs using (seed, kind)),
 eq as (select h.doc_id, h.item_id, h.k, least(20, len(b.t)) as w,
               list_transform(range(greatest(-h.k, 0), least(len(b.t), len(d.t) - h.k)), lambda q: case when d.t[q + h.k + 1] = b.t[q + 1] then 1 else 0 end) as e
        from hits h join d using (doc_id) join b using (item_id)),
 best as (select doc_id, item_id, w, list_max(list_transform(range(greatest(len(e) - w + 1, 1)), lambda i: list_sum(e[i + 1 : i + w]))) as matched from eq),
-leaked as (select doc_id, count(distinct item_id) as n, min(item_id) as item_id, cast(max(matched) as bigint) as matched from best where matched >= w * 0.75 group by doc_id)"""
+leaked as (select doc_id, count(distinct item_id) as n, min(item_id) as item_id, cast(max(matched) as bigint) as matched
+           from best where matched >= w * case when w < 9 then 1 else 0.75 end group by doc_id)"""
 
 ORACLES["op8_decontaminate"] = "with docs as (select * from documents)," + LEAK_CTES + """
 select doc_id, n is not null as contaminated, cast(coalesce(n, 0) as bigint) as n_items, item_id, cast(coalesce(matched, 0) as bigint) as matched
