@@ -30,6 +30,18 @@ def _uri(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(">"))
 
 
+#: A header line of this archive: the target had line breaks, which stand percent-encoded, as does every percent sign.
+ESCAPED = "X-Target-Escaped: yes"
+
+
+def _target(url: Column) -> Column:
+    """The target line as it is, or encoded and marked where the url would break the header."""
+    breaks = url.rlike("[\\r\\n]")
+    encoded = F.replace(F.replace(F.replace(url, F.lit("%"), F.lit("%25")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    marked = F.concat(_line("WARC-Target-URI", encoded), F.lit(ESCAPED + END))
+    return F.coalesce(F.when(breaks, marked).otherwise(_line("WARC-Target-URI", url)), F.lit(""))
+
+
 def write_archive(pages: DataFrame, path: str, least: int = 0) -> None:
     """Store ``pages`` (``page_id``, ``url``, ``html``) under ``path`` in two tables.
 
@@ -39,7 +51,7 @@ def write_archive(pages: DataFrame, path: str, least: int = 0) -> None:
     the response and the others revisit it.
 
     A null html is an empty payload, itself stored once. A null url gives no
-    target line. Rows without page_id are responses unless a numbered page has
+    target line; one with line breaks is encoded so that it can be read back and adds no line. Rows without page_id are responses unless a numbered page has
     their payload. Repeated rows of the response are responses again, over the
     one stored payload. An empty table gives two empty tables. Other columns are
     not archived. Equal payloads meet as partial aggregates, so that a third of
@@ -61,7 +73,7 @@ def write_archive(pages: DataFrame, path: str, least: int = 0) -> None:
         F.lit(f"WARC/1.1{END}"),
         _line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
         _line("WARC-Record-ID", _uri(F.col("page_id"))),
-        F.coalesce(_line("WARC-Target-URI", F.regexp_replace("url", "[\r\n]", " ")), F.lit("")),
+        _target(F.col("url")),
         F.when(revisit, F.concat(_line("WARC-Refers-To", _uri(F.col("owner"))), _line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")))).otherwise(""),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         _line("Content-Type", F.lit("text/html; charset=utf-8")),
@@ -71,12 +83,18 @@ def write_archive(pages: DataFrame, path: str, least: int = 0) -> None:
     stored(heads.join(owners, "key").select("page_id", "key", revisit.alias("revisits"), header.alias("header")), "records", f"{path}/records")
 
 
+def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """``key`` and ``payload`` of everything stored; bytes that their SHA-256 doesn't name raise an error."""
+    wrong = F.raise_error(F.concat(F.lit("payload differs from its key "), F.col("key"))).cast("binary")
+    return spark.read.parquet(f"{path}/payloads").select("key", F.when(F.sha2("payload", 256) == F.col("key"), F.col("payload")).otherwise(wrong).alias("payload"))
+
+
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Every record's bytes as they would stand in a WARC file: ``page_id``, ``key``, ``record``.
 
-    Responses meet their payload in a join on the digest; a revisit has none.
+    Responses meet their payload, checked against the digest that addresses it, in a join on that digest; a revisit has none.
     """
-    records, payloads = spark.read.parquet(f"{path}/records"), spark.read.parquet(f"{path}/payloads")
+    records, payloads = spark.read.parquet(f"{path}/records"), read_payloads(spark, path)
     close = F.lit(END + END).cast("binary")
     full = records.filter(~F.col("revisits")).join(payloads, "key").select("page_id", "key", F.concat(F.col("header").cast("binary"), "payload", close).alias("record"))
     bare = records.filter("revisits").select("page_id", "key", F.concat(F.col("header").cast("binary"), close).alias("record"))
@@ -84,32 +102,38 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_records(records: DataFrame) -> DataFrame:
-    """The fields of raw records: header lines by name, payload bytes after the blank line."""
+    """The fields of raw records: header lines by name, payload bytes after the blank line.
+
+    Only CR LF ends a line; other characters that may count as line ends are part of a value.
+    """
     head = F.substring_index(F.col("record").cast("string"), END + END, 1)
+    rows = records.withColumn("_lines", F.split(head, END)).withColumn("_head_bytes", F.octet_length(head))
 
     def field(name: str) -> Column:
-        found = F.regexp_extract(head, rf"(?m)^{name}: (.*?)\r?$", 1)
-        return F.when(found != "", found)
+        found = F.get(F.filter("_lines", lambda line: F.startswith(line, F.lit(f"{name}: "))), F.lit(0))
+        return F.substring(found, len(name) + 3, 1 << 30)
 
-    length = field("Content-Length").cast("int")
-    return records.select(
+    target = field("WARC-Target-URI")
+    decoded = F.replace(F.replace(F.replace(target, F.lit("%0A"), F.lit("\n")), F.lit("%0D"), F.lit("\r")), F.lit("%25"), F.lit("%"))
+    return rows.select(
         *[c for c in records.columns if c != "record"],
         field("WARC-Type").alias("record_type"),
-        F.regexp_extract(field("WARC-Payload-Digest"), "sha1:(.*)", 1).alias("payload_digest"),
-        F.regexp_extract(field("WARC-Refers-To"), "page:(-?[0-9]+)", 1).cast("long").alias("refers_to"),
-        F.col("record").substr(F.octet_length(head) + 5, length).alias("payload"),
+        F.when(F.array_contains("_lines", ESCAPED), decoded).otherwise(target).alias("url"),
+        F.regexp_extract(field("WARC-Payload-Digest"), "^sha1:(.*)$", 1).alias("payload_digest"),
+        F.nullif(F.regexp_extract(field("WARC-Refers-To"), "^<urn:page:(-?[0-9]+)>$", 1), F.lit("")).cast("long").alias("refers_to"),
+        F.col("record").substr(F.col("_head_bytes") + 5, field("Content-Length").cast("int")).alias("payload"),
     )
 
 
 def verified_pages(spark: SparkSession, path: str) -> DataFrame:
     """Per record: page_id, size and digest of its full payload, its type and what it refers to.
 
-    Sizes and digests come from the payload bytes read back. A revisit takes them
+    Sizes and digests come from the payload bytes read back, which are checked against their key, too. A revisit takes them
     from the response that it refers to, over the same key, and a record whose
     header claims another digest than its payload has raises an error.
     """
     parsed = parse_records(read_archive(spark, path))
-    bodies = spark.read.parquet(f"{path}/payloads").select(F.col("key"), F.octet_length("payload").cast("long").alias("n"), base32_sha1(F.col("payload")).alias("digest"))
+    bodies = read_payloads(spark, path).select(F.col("key"), F.octet_length("payload").cast("long").alias("n"), base32_sha1(F.col("payload")).alias("digest"))
     own = parsed.filter("record_type = 'response'").select(
         "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", base32_sha1(F.col("payload")).alias("digest"), "record_type", F.lit(None).cast("long").alias("refers_to")
     )

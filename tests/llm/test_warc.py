@@ -1,6 +1,11 @@
 import base64
 import hashlib
 
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
 from streamgauge.llm.common import scratch
 from streamgauge.llm.warc import parse_records, read_archive, verified_pages, write_archive
 
@@ -35,6 +40,34 @@ def test_round_trip(spark):
     assert got == sorted(want, key=str)
 
 
+HOSTILE = [
+    "http://a/\u2028WARC-Payload-Digest: sha1:AAAA", "http://a/\x85WARC-Type: revisit", "x\r\nWARC-Type: revisit\r\nWARC-Refers-To: <urn:page:1>", "y\r\n\r\nbody", "\n", "\r", "100%0A",
+    "50%25\n%0D", "a\rb", "WARC-Type: revisit", "", "\x0bz", "u\r\nX-Target-Escaped: yes", "http://p/%41?q=%",
+]
+
+
+def test_no_url_changes_another_field_and_all_come_back(spark):
+    path = scratch(spark, "warc_test")
+    write_archive(table(spark, [(i, url, f"body {i % 5}") for i, url in enumerate(HOSTILE)]), path)
+    parsed = {r.page_id: r for r in parse_records(read_archive(spark, path)).collect()}
+    assert {i: r.url for i, r in parsed.items()} == dict(enumerate(HOSTILE))
+    for r in verified_pages(spark, path).collect():
+        owner = max(i for i in range(len(HOSTILE)) if i % 5 == r.page_id % 5)
+        assert (r.record_type, r.refers_to) == (("response", None) if r.page_id == owner else ("revisit", owner))
+        assert r.payload_digest == digest(f"body {r.page_id % 5}") and r.payload_bytes == 6
+
+
+def test_changed_bytes_are_an_error(spark):
+    path, other = scratch(spark, "warc_test"), scratch(spark, "warc_test")
+    write_archive(table(spark, PAGES), path)
+    payloads = spark.read.parquet(f"{path}/payloads")
+    payloads.withColumn("payload", F.when(F.octet_length("payload") > 1000, F.lit(b"other")).otherwise(F.col("payload"))).write.parquet(f"{other}/payloads")
+    spark.read.parquet(f"{path}/records").write.parquet(f"{other}/records")
+    for read in (verified_pages, read_archive):
+        with pytest.raises((PySparkException, Py4JJavaError), match="differs from its key"):
+            read(spark, other).collect()
+
+
 def test_small_payloads_are_responses(spark):
     path = scratch(spark, "warc_test")
     write_archive(table(spark, PAGES[:4]), path, least=5)
