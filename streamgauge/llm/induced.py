@@ -1,13 +1,15 @@
-"""Suffix arrays by induced sorting, in whole-array steps."""
+"""Suffix arrays by induced sorting, in whole-array steps where buckets are large."""
 
 from __future__ import annotations
 
-import numpy as np
+from array import array
 
-from streamgauge.llm.common import mixed
+import numpy as np
 
-#: A level with more names than this is ordered by doubling ranks: a step per bucket would cost more than the suffixes in it.
+#: A level with more names than this is induced suffix by suffix: a step per bucket would cost more than the suffixes in it.
 MOST_BUCKETS = 1024
+#: Letters that are compared in one go; a longer stretch is read whole.
+READ = 1 << 20
 
 
 def _smaller_than_next(s: np.ndarray) -> np.ndarray:
@@ -74,36 +76,58 @@ def _induced(s: np.ndarray, small: np.ndarray, marks: np.ndarray, letters: int)
     return order
 
 
-def _doubled(s: np.ndarray) -> np.ndarray:
-    """Suffix order by ranks of prefixes of twice the length each round."""
-    n, length = len(s), 1
-    rank = s.astype(np.int64)
-    while True:
-        follow = np.zeros(n, np.int64)
-        follow[: max(n - length, 0)] = rank[length:] + 1
-        key = rank * (int(rank.max()) + 2) + follow
-        order = np.argsort(key, kind="stable")
-        new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
-        rank[order] = new
-        if new[-1] == n - 1 or length >= n:
-            return order
-        length *= 2
+def _induced_singly(s: np.ndarray, small: np.ndarray, marks: np.ndarray, letters: int) -> np.ndarray:
+    """The same, one suffix after the other; for many small buckets."""
+    n = len(s)
+    size = np.bincount(s, minlength=letters)
+    end = np.cumsum(size)
+    letter, kind = array("q", s.astype(np.int64).tobytes()), small.astype(np.uint8).tobytes()
+    order = array("q", np.full(n, -1, np.int64).tobytes())
+    at = array("q", end.astype(np.int64).tobytes())
+    for p in array("q", marks[::-1].astype(np.int64).tobytes()):
+        c = letter[p]
+        at[c] -= 1
+        order[at[c]] = p
+    at = array("q", (end - size).astype(np.int64).tobytes())
+    for i in range(n):
+        p = order[i] - 1
+        if p >= 0 and not kind[p]:
+            c = letter[p]
+            order[at[c]] = p
+            at[c] += 1
+    at = array("q", end.astype(np.int64).tobytes())
+    for i in range(n - 1, -1, -1):
+        p = order[i] - 1
+        if p >= 0 and kind[p]:
+            c = letter[p]
+            at[c] -= 1
+            order[at[c]] = p
+    return np.frombuffer(order, np.int64).copy()
+
+
+def ragged(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ranges of the given sizes on end: the range of each element and its place in it."""
+    of = np.repeat(np.arange(len(size)), size)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
 
 
 def _names(s: np.ndarray, marks: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    """Ranks of the substrings between marks, in text order; equal ones share a rank."""
-    with np.errstate(over="ignore"):
-        power = np.multiply.accumulate(np.full(len(s) + 1, 0x9E3779B97F4A7C15, np.uint64))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(s.astype(np.uint64), 41) * power[: len(s)])])
-        stop = np.minimum(np.concatenate([marks[1:], marks[-1:]]) + 1, len(s))
-        length = stop - marks
-        # Scaled to a common exponent, so that equal substrings agree wherever they stand.
-        value = (sums[stop] - sums[marks]) * power[len(s) - marks]
+    """Ranks of the substrings between marks, in text order; those of equal letters share a rank.
+
+    In the order of the substrings each is held against the one before, letter by letter.
+    """
+    stop = np.minimum(np.concatenate([marks[1:], marks[-1:]]) + 1, len(s))
     place = np.searchsorted(marks, ordered)
-    value, length = value[place], length[place]
-    new = np.concatenate([[0], np.cumsum((value[1:] != value[:-1]) | (length[1:] != length[:-1]))])
+    begin, length = marks[place], (stop - marks)[place]
+    new = np.ones(len(marks), bool)
+    alike = np.flatnonzero(length[1:] == length[:-1]) + 1
+    if len(alike):
+        of, inner = ragged(length[alike])
+        same = s[begin[alike][of] + inner] == s[begin[alike - 1][of] + inner]
+        new[alike] = ~np.logical_and.reduceat(same, np.cumsum(length[alike]) - length[alike])
+    new[0] = False
     out = np.empty(len(marks), np.int64)
-    out[place] = new
+    out[place] = np.cumsum(new)
     return out
 
 
@@ -122,26 +146,49 @@ def suffix_array(text: np.ndarray, letters: int = 256) -> np.ndarray:
 
 
 def _ordered(s: np.ndarray, letters: int) -> np.ndarray:
-    if letters > MOST_BUCKETS:
-        return _doubled(s)
+    induced = _induced if letters <= MOST_BUCKETS else _induced_singly
     small = _smaller_than_next(s)
     marks = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    order = _induced(s, small, marks, letters)
+    order = induced(s, small, marks, letters)
     if len(marks) > 1:
         is_mark = np.zeros(len(s), bool)
         is_mark[marks] = True
         names = _names(s, marks, order[is_mark[order]])
         count = int(names.max()) + 1
         within = np.argsort(names) if count == len(names) else _ordered(names, count)
-        order = _induced(s, small, marks[within], letters)
+        order = induced(s, small, marks[within], letters)
     return order
 
 
-def permuted_prefixes(data_hash, starts: np.ndarray, order: np.ndarray, most: int = 127) -> np.ndarray:
+def equal_stretches(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Whether ``length`` letters from ``a`` and from ``b`` are equal, by the letters; ``a`` rises.
+
+    Pairs that move on together by one letter are read as one stretch.
+    """
+    if len(a) == 0:
+        return np.zeros(0, bool)
+    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1] + 1) | (b[1:] != b[:-1] + 1)]))
+    pairs = np.diff(np.append(first, len(a)))
+    total = np.concatenate([[0], np.cumsum(pairs + length - 1)])
+    out, done = [], 0
+    while done < len(pairs):
+        stop = max(done + 1, int(np.searchsorted(total, total[done] + READ, "right")) - 1)
+        part, start = pairs[done:stop], first[done:stop]
+        of, inner = ragged(part + length - 1)
+        wrong = np.concatenate([[0], np.cumsum(data[a[start][of] + inner] != data[b[start][of] + inner])])
+        stretch, place = ragged(part)
+        at = (total[done:stop] - total[done])[stretch] + place
+        out.append(wrong[at + length] == wrong[at])
+        done = stop
+    return np.concatenate(out)
+
+
+def permuted_prefixes(data_hash, starts: np.ndarray, order: np.ndarray, most: int = 127, letters: np.ndarray | None = None, least: int = 0) -> np.ndarray:
     """Common prefix of each start with the start before it in suffix order, cut at ``most``, in text order.
 
-    ``data_hash`` gives hashes of byte ranges, ``order`` sorts ``starts``. Prefixes
-    are grown by halving steps for all starts at once.
+    ``data_hash`` gives hashes of byte ranges, ``order`` sorts ``starts``, which rise. Prefixes
+    are grown by halving steps for all starts at once. With ``letters``, prefixes of
+    ``least`` and more are read again letter by letter; one that is none counts as 0.
     """
     before = np.full(len(starts), -1, np.int64)
     before[order[1:]] = order[:-1]
@@ -154,5 +201,8 @@ def permuted_prefixes(data_hash, starts: np.ndarray, order: np.ndarray, most: in
         same = data_hash.of(a + grown, a + grown + step) == data_hash.of(b + grown, b + grown + step)
         grown[same] += step
         step //= 2
+    if letters is not None:
+        long = np.flatnonzero(grown >= least)
+        grown[long[~equal_stretches(letters, a[long], b[long], least)]] = 0
     out[have] = grown
     return out

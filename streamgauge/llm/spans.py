@@ -218,7 +218,7 @@ def _repeats_in_shards(contexts: DataFrame, length: int) -> DataFrame:
         place = np.empty(len(data), np.int64)
         place[order] = np.arange(len(data))
         order = np.argsort(place[at])
-        common = permuted_prefixes(Rolling(np.concatenate([data, np.zeros(128, np.uint8)])), at, order)
+        common = permuted_prefixes(Rolling(np.concatenate([data, np.zeros(128, np.uint8)])), at, order, letters=data, least=length)
         new = common[order] < length
         new[0] = True
         who, where = doc[row], start[row] + inner

@@ -60,15 +60,71 @@ def test_empty(spark):
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=80), st.booleans())
-def test_suffix_array_sorts_suffixes(values, doubled):
+def test_suffix_array_sorts_suffixes(values, singly):
     text = bytes(values)
-    before, induced.MOST_BUCKETS = induced.MOST_BUCKETS, 6 if doubled else 10**6
+    before, induced.MOST_BUCKETS = induced.MOST_BUCKETS, 6 if singly else 10**6
     try:
         assert induced.suffix_array(np.frombuffer(text, np.uint8), 4).tolist() == sorted(range(len(text)), key=lambda i: text[i:])
     finally:
         induced.MOST_BUCKETS = before
 
 
+def test_every_level_is_induced(monkeypatch):
+    """Texts of 200 KB go through both kinds of induction and several levels."""
+    dice = np.random.default_rng(5)
+    words = [bytes(dice.integers(97, 123, dice.integers(2, 9)).astype(np.uint8)) for _ in range(3000)]
+    text = np.frombuffer(b" ".join(words[i] for i in dice.zipf(1.3, 40_000) % 3000), np.uint8)
+    seen, whole = [], induced._ordered
+    monkeypatch.setattr(induced, "_ordered", lambda s, letters: seen.append((len(s), letters)) or whole(s, letters))
+    order = induced.suffix_array(text)
+    assert len(seen) >= 2 and seen[1][1] > induced.MOST_BUCKETS
+    assert np.array_equal(np.sort(order), np.arange(len(text)))
+    raw = text.tobytes()
+    picks = dice.integers(1, len(order), 3000)
+    assert all(raw[order[i - 1] : order[i - 1] + 5000] <= raw[order[i] : order[i] + 5000] for i in picks)
+
+
+def test_names_follow_letters():
+    s = np.array([2, 1, 3, 1, 3, 2, 1, 3, 1, 2, 0])
+    small = induced._smaller_than_next(s)
+    marks = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    order = induced._induced_singly(s, small, marks, 4)
+    ordered = order[np.isin(order, marks)]
+    names = induced._names(s, marks, ordered)
+    stop = np.minimum(np.append(marks[1:], marks[-1]) + 1, len(s))
+    pieces = [tuple(s[a:b]) for a, b in zip(marks, stop)]
+    assert all((names[i] == names[j]) == (pieces[i] == pieces[j]) for i in range(len(marks)) for j in range(len(marks)))
+
+
+@pytest.mark.parametrize("read", [1, 50, 1 << 20])
+def test_equal_stretches(monkeypatch, read):
+    monkeypatch.setattr(induced, "READ", read)
+    dice = np.random.default_rng(3)
+    data = dice.integers(0, 2, 300)
+    a = np.sort(dice.choice(280, 150, replace=False))
+    b = dice.integers(0, 280, 150)
+    b[1:][dice.random(149) < 0.6] = 0
+    for k in range(1, 150):
+        if a[k] == a[k - 1] + 1 and b[k] == 0:
+            b[k] = min(b[k - 1] + 1, 280)
+    want = [bool((data[x : x + 6] == data[y : y + 6]).all()) for x, y in zip(a, b)]
+    assert induced.equal_stretches(data, a, b, 6).tolist() == want
+
+
+def test_a_wrong_hash_is_found_out():
+    class Blind:
+        def of(self, a, b):
+            return np.zeros(len(a), np.uint64)
+
+    data = np.frombuffer(b"abcdefgh" * 4 + b"abcdxfgh" * 2, np.uint8)
+    starts = np.arange(len(data) - 8)
+    order = induced.suffix_array(data)
+    order = order[order < len(starts)]
+    got = induced.permuted_prefixes(Blind(), starts, np.searchsorted(starts, order), 15, data, 8)
+    for x, y in zip(order[:-1], order[1:]):
+        assert (got[y] >= 8) == (data[x : x + 8].tobytes() == data[y : y + 8].tobytes())
+
+
 def test_permuted_prefixes():
     text = b"abracadabra abracadabra"
     starts = np.arange(len(text))
