@@ -77,31 +77,34 @@ def _induced(s: np.ndarray, small: np.ndarray, marks: np.ndarray, letters: int)
 
 
 def _induced_singly(s: np.ndarray, small: np.ndarray, marks: np.ndarray, letters: int) -> np.ndarray:
-    """The same, one suffix after the other; for many small buckets."""
+    """The same, one suffix after the other; for many small buckets.
+
+    ``before`` has the letter that precedes a suffix where that suffix is of the kind a
+    pass places, else -1; its last entry answers for places that are still empty.
+    """
     n = len(s)
     size = np.bincount(s, minlength=letters)
     end = np.cumsum(size)
-    letter, kind = array("q", s.astype(np.int64).tobytes()), small.astype(np.uint8).tobytes()
-    order = array("q", np.full(n, -1, np.int64).tobytes())
-    at = array("q", end.astype(np.int64).tobytes())
-    for p in array("q", marks[::-1].astype(np.int64).tobytes()):
-        c = letter[p]
-        at[c] -= 1
-        order[at[c]] = p
-    at = array("q", (end - size).astype(np.int64).tobytes())
-    for i in range(n):
-        p = order[i] - 1
-        if p >= 0 and not kind[p]:
-            c = letter[p]
-            order[at[c]] = p
-            at[c] += 1
-    at = array("q", end.astype(np.int64).tobytes())
-    for i in range(n - 1, -1, -1):
-        p = order[i] - 1
-        if p >= 0 and kind[p]:
-            c = letter[p]
-            at[c] -= 1
-            order[at[c]] = p
+    order = np.full(n, -1, np.int64)
+    _placed(end - 1, s[marks[::-1]], marks[::-1], order, -1)
+    order = array("q", order.tobytes())
+    before = np.full(n + 1, -1, np.int64)
+    before[1:n] = np.where(small[:-1], -1, s[:-1])
+    known, at = array("q", before.tobytes()), (end - size).tolist()
+    for p in order:
+        c = known[p]
+        if c >= 0:
+            k = at[c]
+            order[k] = p - 1
+            at[c] = k + 1
+    before[1:n] = np.where(small[:-1], s[:-1], -1)
+    known, at = array("q", before.tobytes()), (end - 1).tolist()
+    for p in reversed(order):
+        c = known[p]
+        if c >= 0:
+            k = at[c]
+            order[k] = p - 1
+            at[c] = k - 1
     return np.frombuffer(order, np.int64).copy()
 
 
