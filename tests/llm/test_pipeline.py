@@ -65,7 +65,7 @@ def test_run_gives_the_last_stage(spark, folder):
 
 def test_all_operators_are_registered_once():
     keys = [k for k in contract.queries() if k[:2] == "op"]
-    assert sorted(int(k[2:].split("_")[0]) for k in keys) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in keys) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 
