@@ -9,7 +9,7 @@ import numpy as np
 #: A level with more names than this is induced suffix by suffix: a step per bucket would cost more than the suffixes in it.
 MOST_BUCKETS = 1024
 #: Letters that are compared in one go; a longer stretch is read whole.
-READ = 1 << 20
+READ = 1 << 18
 
 
 def _smaller_than_next(s: np.ndarray) -> np.ndarray:
@@ -85,12 +85,12 @@ def _induced_singly(s: np.ndarray, small: np.ndarray, marks: np.ndarray, letters
     n = len(s)
     size = np.bincount(s, minlength=letters)
     end = np.cumsum(size)
-    order = np.full(n, -1, np.int64)
+    order = np.full(n, -1, np.int32)
     _placed(end - 1, s[marks[::-1]], marks[::-1], order, -1)
-    order = array("q", order.tobytes())
-    before = np.full(n + 1, -1, np.int64)
+    order = array("i", order.tobytes())
+    before = np.full(n + 1, -1, np.int32)
     before[1:n] = np.where(small[:-1], -1, s[:-1])
-    known, at = array("q", before.tobytes()), (end - size).tolist()
+    known, at = array("i", before.tobytes()), (end - size).tolist()
     for p in order:
         c = known[p]
         if c >= 0:
@@ -98,14 +98,14 @@ def _induced_singly(s: np.ndarray, small: np.ndarray, marks: np.ndarray, letters
             order[k] = p - 1
             at[c] = k + 1
     before[1:n] = np.where(small[:-1], s[:-1], -1)
-    known, at = array("q", before.tobytes()), (end - 1).tolist()
+    known, at = array("i", before.tobytes()), (end - 1).tolist()
     for p in reversed(order):
         c = known[p]
         if c >= 0:
             k = at[c]
             order[k] = p - 1
             at[c] = k - 1
-    return np.frombuffer(order, np.int64).copy()
+    return np.frombuffer(order, np.int32).astype(np.int64)
 
 
 def ragged(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,10 +124,15 @@ def _names(s: np.ndarray, marks: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     begin, length = marks[place], (stop - marks)[place]
     new = np.ones(len(marks), bool)
     alike = np.flatnonzero(length[1:] == length[:-1]) + 1
-    if len(alike):
-        of, inner = ragged(length[alike])
-        same = s[begin[alike][of] + inner] == s[begin[alike - 1][of] + inner]
-        new[alike] = ~np.logical_and.reduceat(same, np.cumsum(length[alike]) - length[alike])
+    total = np.concatenate([[0], np.cumsum(length[alike])])
+    done = 0
+    while done < len(alike):
+        stop = max(done + 1, int(np.searchsorted(total, total[done] + READ, "right")) - 1)
+        some = alike[done:stop]
+        of, inner = ragged(length[some])
+        same = s[begin[some][of] + inner] == s[begin[some - 1][of] + inner]
+        new[some] = ~np.logical_and.reduceat(same, total[done:stop] - total[done])
+        done = stop
     new[0] = False
     out = np.empty(len(marks), np.int64)
     out[place] = np.cumsum(new)
