@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: A run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: The C library of this process; only some have ``malloc_trim``.
+_LIBRARY = ctypes.CDLL(None)
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -87,6 +91,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 20)
             start = end
 
 
+def give_back() -> None:
+    """Return memory that freed arrays have left with the allocators, so that workers kept for the next task hold little."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBRARY, "malloc_trim"):
+        _LIBRARY.malloc_trim(0)
+
+
 def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective scramble of 64-bit values, another one for each seed."""
     with np.errstate(over="ignore"):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamgauge.llm.common import Rolling, binary_rows, slices, stored, text_bytes
+from streamgauge.llm.common import Rolling, binary_rows, give_back, slices, stored, text_bytes
 from streamgauge.llm.induced import permuted_prefixes, suffix_array
 
 #: Bytes of a seed: the smallest hash among the seeds of a window decides where the window is compared.
@@ -207,6 +207,7 @@ def _repeats_in_shards(contexts: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for rows in _in_groups(batches, "h"):
             yield repeats(rows)
+            give_back()
 
     def repeats(rows):
         doc, start, size = (rows.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "start", "run"))
