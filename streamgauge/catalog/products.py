@@ -360,7 +360,7 @@ def m7(i):
 
 
 def transcript_folder(i: Input) -> str:
-    """The segments written as transcript files, one folder per video."""
+    """The segments written as transcript files, a file for each video and day of it."""
     folder = scratch_path(i.spark, "transcripts")
     transcripts.write_partitioned(i.v("file_segments"), folder)
     return folder

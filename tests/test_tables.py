@@ -185,3 +185,16 @@ def test_an_aborted_transcript_job_leaves_nothing(spark, tmp_path, bad):
     with pytest.raises(PySparkException):
         transcripts.write_files(spark.createDataFrame(rows, SEGMENTS), folder)
     assert os.listdir(folder) == ["kept.txt"]
+
+
+def test_partitioned_transcripts_need_no_folder_per_video(spark, tmp_path):
+    rows = [(f"v{i}", float(k), k + 1.0, "x") for i in range(300) for k in (1, 100_000)]
+    odd = [("a b/c%é~+", 1.0, 2.0, "l\nx"), (None, 1.0, 2.0, "n"), (".h", 1.0, 2.0, None), ("_u", 1.0, 2.0, "u")]
+    folder = str(tmp_path / "parts")
+    transcripts.write_partitioned(spark.createDataFrame(rows + odd, SEGMENTS).repartition(4), folder)
+    folders = [f for f in (tmp_path / "parts").rglob("*") if f.is_dir()]
+    assert len(folders) < 50 and sum(1 for f in (tmp_path / "parts").rglob("video_id=v*.txt")) == 600
+    got = sorted(tuple(r) for r in transcripts.read_partitioned(spark, folder).filter("video_id is not null").collect())
+    assert got == sorted([(i, a, b, " x") for i, a, b, _ in rows] + [("a b/c%é~+", 1.0, 2.0, " l x"), (".h", 1.0, 2.0, " "), ("_u", 1.0, 2.0, " u")])
+    assert transcripts.read_partitioned(spark, folder).filter("video_id is null").count() == 1
+    assert {r.video_id for r in transcripts.listed_ids(spark, folder).collect()} >= {*(f"v{i}" for i in range(300)), "a b/c%é~+", ".h", "_u"}
