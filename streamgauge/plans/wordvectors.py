@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from streamgauge.session import materialize
 
 
+#: Most words, and most vectors of 64 dimensions (some 70 MB), that are sent to all tasks at once.
+MOST_WORDS, MOST_VECTORS = 1 << 20, 1 << 17
+
+
 def _words(text: Column) -> Column:
     """Lower-case words of letters and digits, in order."""
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
@@ -27,24 +31,38 @@ def _words(text: Column) -> Column:
 def pair_counts(df: DataFrame, text: str = "text", window: int = 4, min_count: int = 5) -> DataFrame:
     """``a``, ``b`` and ``n``: how often b stands within ``window`` words of a, both ways; words seen under ``min_count`` times don't count as company.
 
-    Pairs are counted before they are shuffled, so a frequent pair costs a row per task.
+    Pairs are counted before they are shuffled, so a frequent pair costs a row per task; they are
+    shuffled once, in one order of a and b, and turned into both afterwards. Up to ``MOST_WORDS``
+    known words are sent to the tasks and rare ones go before the shuffle, more are joined after it.
     """
     words = materialize(df.select(_words(F.col(text)).alias("words")), "words")
-    common = words.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= min_count).select("word")
+    common = materialize(words.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= min_count).select("word"), "common_words")
+    few = common.count() <= MOST_WORDS
     size = F.size("words")
     apart = words.select("words", F.explode(F.sequence(F.lit(1), F.lit(window))).alias("apart")).filter(size > F.col("apart"))
     left, right = F.slice("words", F.lit(1), size - F.col("apart")), F.slice("words", F.col("apart") + 1, size - F.col("apart"))
-    once = apart.select(F.inline(F.arrays_zip(left.alias("a"), right.alias("b")))).toDF("a", "b").groupBy("a", "b").agg(F.count("*").alias("n"))
-    known = once.join(common.withColumnRenamed("word", "a"), "a", "left_semi").join(common.withColumnRenamed("word", "b"), "b", "left_semi")
-    both = known.select("a", "b", "n").unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
-    return both.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    near = apart.select(F.inline(F.arrays_zip(left.alias("a"), right.alias("b")))).toDF("a", "b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    def known(pairs):
+        for end in ("a", "b"):
+            names = common.withColumnRenamed("word", end)
+            pairs = pairs.join(F.broadcast(names) if few else names, end, "left_semi")
+        return pairs.select("a", "b", *pairs.columns[2:])
+
+    once = (known(near) if few else near).groupBy("a", "b").agg(F.count("*").alias("n"))
+    once = once if few else known(once)
+    a, b, n = F.col("a"), F.col("b"), F.col("n")
+    same = F.array(F.struct(a, b, (2 * n).alias("n")))
+    both = F.array(F.struct(a, b, n), F.struct(b.alias("a"), a.alias("b"), n))
+    return once.select(F.inline(F.when(a == b, same).otherwise(both)))
 
 
 def positive_information(counts: DataFrame) -> DataFrame:
     """``a``, ``b`` and ``value``: the log of how much oftener they meet than by chance, where that is positive."""
     margins = materialize(counts.groupBy("a").agg(F.sum("n").alias("of_a")), "margins")
     total = margins.agg(F.sum("of_a")).scalar()
-    joined = counts.join(margins, "a").join(margins.select(F.col("a").alias("b"), F.col("of_a").alias("of_b")), "b")
+    sent = F.broadcast(margins) if margins.count() <= MOST_WORDS else margins
+    joined = counts.join(sent, "a").join(sent.select(F.col("a").alias("b"), F.col("of_a").alias("of_b")), "b")
     value = F.log(F.col("n") * F.col("total") / (F.col("of_a") * F.col("of_b").cast("double")))
     return joined.withColumn("total", total.cast("double")).select("a", "b", value.alias("value")).filter("value > 0")
 
@@ -58,10 +76,32 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dims)
 
 
-def _product(matrix: DataFrame, vectors: DataFrame, dims: int) -> DataFrame:
+def _sums(rows: DataFrame, on: str, by: str, value: Column, vectors: DataFrame, count: int, dims: int) -> DataFrame:
+    """For each ``by``, as ``v``: the sum of its rows' ``value`` times the vector (``word``, ``v``) of the word ``on``.
+
+    Vectors go to the rows, which are never shuffled: rows that lie together by ``by`` leave a row per task
+    and ``by``. Of ``count`` vectors ``MOST_VECTORS`` are sent at a time, and what each such part adds is stored.
+    """
+    slices = max(1, -(-count // MOST_VECTORS))
+    cells = [F.sum(value * F.get("v", F.lit(j))).alias(f"s{j}") for j in range(dims)]
+    vector = F.array(*[f"s{j}" for j in range(dims)]).alias("v")
+
+    def part(some):
+        return rows.join(F.broadcast(some.select(F.col("word").alias("_word"), *[c for c in some.columns if c != "word"])), F.col(on) == F.col("_word")).groupBy(by).agg(*cells)
+
+    if slices == 1:
+        return part(vectors).select(by, vector)
+    slot = F.pmod(F.xxhash64("word"), F.lit(slices))
+    done = [materialize(part(vectors.filter(slot == k)), "word_sums") for k in range(slices)]
+    whole = done[0]
+    for more in done[1:]:
+        whole = whole.unionByName(more)
+    return whole.groupBy(by).agg(*[F.sum(f"s{j}").alias(f"s{j}") for j in range(dims)]).select(by, vector)
+
+
+def _product(matrix: DataFrame, vectors: DataFrame, count: int, dims: int) -> DataFrame:
     """The matrix times ``vectors`` (``word``, ``v``): a row per word, added up before the shuffle."""
-    parts = matrix.join(vectors, matrix.b == vectors.word).groupBy("a").agg(*[F.sum(F.col("value") * F.get("v", F.lit(j))).alias(f"s{j}") for j in range(dims)])
-    return parts.select(F.col("a").alias("word"), F.array(*[f"s{j}" for j in range(dims)]).alias("v"))
+    return _sums(matrix, "b", "a", F.col("value"), vectors, count, dims).withColumnRenamed("a", "word")
 
 
 def _cross(rows: DataFrame, left: str, right: str, dims: int) -> np.ndarray:
@@ -105,12 +145,14 @@ def subspace(matrix: DataFrame, dims: int, rounds: int = 3, seed: int = 42) -> D
     lineage stays short; the last one turns the base into the matrix's own
     axes, each scaled by the root of its strength.
     """
-    matrix = materialize(matrix, "word_matrix")
-    base = matrix.select(F.col("a").alias("word")).distinct().withColumn("v", _signs(F.col("word"), dims, seed))
+    matrix = materialize(matrix.repartition("a"), "word_matrix")
+    words = materialize(matrix.select(F.col("a").alias("word")).distinct(), "matrix_words")
+    count = words.count()
+    base = words.withColumn("v", _signs(F.col("word"), dims, seed))
     for _ in range(rounds):
-        base = _orthonormal(materialize(_product(matrix, base, dims), "word_base"), dims)
+        base = _orthonormal(materialize(_product(matrix, base, count, dims), "word_base"), dims)
     base = materialize(base, "word_base")
-    product = _product(matrix, base, dims).withColumnRenamed("v", "z")
+    product = _product(matrix, base, count, dims).withColumnRenamed("v", "z")
     strength, axes = np.linalg.eigh(_cross(base.join(product, "word"), "v", "z", dims))
     order = np.argsort(-np.abs(strength), kind="stable")
     return _turned(base, "v", axes[:, order] * np.sqrt(np.abs(strength[order]))).withColumnRenamed("v", "vector")
@@ -129,13 +171,13 @@ def embed_by_words(df: DataFrame, vectors: DataFrame, text: str = "text", dims:
     """
     keyed = df.withColumn("_text", F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256))
     texts = keyed.select("_text", _words(F.col(text)).alias("words")).dropDuplicates(["_text"])
+    # Every text's words lie together, so sums of vectors are added up where the text is.
     counts = materialize(texts.select("_text", F.explode("words").alias("word")).groupBy("_text", "word").agg(F.count("*").alias("n")), "text_words")
     seen = counts.groupBy("word").agg(F.count("*").alias("texts"))
     total = counts.agg(F.count_distinct("_text")).scalar()
-    weighted = vectors.join(seen, "word").withColumn("weight", F.log((total + 1) / (F.col("texts") + 1)) + 1).select("word", "weight", "vector")
-    sums = counts.join(weighted, "word").groupBy("_text").agg(*[F.sum(F.col("n") * F.col("weight") * F.get("vector", F.lit(j))).alias(f"s{j}") for j in range(dims)])
-    vector = F.array(*[f"s{j}" for j in range(dims)])
-    mean = sums.select("_text", vector.alias("v"))
+    weighted = vectors.join(seen, "word").withColumn("weight", F.log((total + 1) / (F.col("texts") + 1)) + 1).select("word", "weight", F.col("vector").alias("v"))
+    weighted = materialize(weighted, "word_weights")
+    mean = _sums(counts, "word", "_text", F.col("n") * F.col("weight"), weighted, weighted.count(), dims)
     size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda t, x: t + x * x))
     unit = mean.withColumn("size", size).select("_text", F.transform("v", lambda x: F.coalesce(F.try_divide(x, F.col("size")), F.lit(0.0))).alias("embedding"))
     zeros = F.array_repeat(F.lit(0.0), dims)

@@ -116,3 +116,18 @@ def test_no_text(spark):
     vectors = wv.word_vectors(df, dims=4)
     assert vectors.collect() == []
     assert [r.embedding for r in wv.embed_by_words(df, vectors, dims=4).collect()] == [[0.0] * 4] * 2
+
+
+def test_pairs_are_shuffled_once(corpus):
+    plan = wv.pair_counts(corpus[1])._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate") == 2 and plan.count("BroadcastHashJoin") == 2 and "Union" not in plan
+
+
+def test_many_words_give_the_same(corpus, monkeypatch):
+    texts, df = corpus
+    want = {r.id: r.embedding for r in wv.embed_by_words(df, wv.word_vectors(df, dims=4), dims=4).collect()}
+    monkeypatch.setattr(wv, "MOST_WORDS", 3)
+    monkeypatch.setattr(wv, "MOST_VECTORS", 4)
+    assert {(r.a, r.b): r.n for r in wv.pair_counts(df).collect()} == counted(texts, 4, 5)
+    got = {r.id: r.embedding for r in wv.embed_by_words(df, wv.word_vectors(df, dims=4), dims=4).collect()}
+    assert all(np.allclose(np.abs(got[i]), np.abs(want[i]), atol=1e-6) for i in want)
