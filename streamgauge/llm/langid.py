@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamgauge.llm.common import Rolling, slices, text_bytes, words_of
+from streamgauge.llm.common import Rolling, give_back, slices, text_bytes, words_of
 
 SLOTS = 1 << 16
 #: Cost of a change of language between two words, in nats.
@@ -287,6 +287,7 @@ def label_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     def run(batches):
         for batch in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *_labelled(batch, model)], ["doc_id", "lang_pred", "score", "spans"])
+            give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, spans array<struct<start: int, end: int, lang: string>>")
 
@@ -301,5 +302,6 @@ def known_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
             columns = batch.columns
             columns[lang] = pc.coalesce(columns[lang], names)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pc.not_equal(names, "und"))
+            give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamgauge.llm.common import Rolling, binary_rows, mixed, slices, stored, text_bytes, words_of
+from streamgauge.llm.common import Rolling, binary_rows, give_back, mixed, slices, stored, text_bytes, words_of
 from streamgauge.llm.graph import components
 
 #: A signature has SYMBOLS values of 8 bits, of which the first INDEXED are index keys. Texts whose sets
@@ -81,6 +81,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 [batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), binary_rows(sig.ravel(), np.arange(batch.num_rows + 1) * SYMBOLS)],
                 ["doc_id", "n_shingles", "d1", "d2", "sig"],
             )
+            give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, sig binary")
 
@@ -340,6 +341,7 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             rows, hashes = shingles(data, borders, words)
             edges = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=batch.num_rows))])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), binary_rows(hashes, edges)], ["doc_id", "held"])
+            give_back()
 
     ids = stored(ids, "near_ids")
     ids = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
