@@ -136,3 +136,9 @@ def test_permuted_prefixes():
         while n < 15 and padded[a + n] == padded[b + n]:
             n += 1
         assert got[b] == n
+
+
+def test_suffix_array_of_some_thousand_letters():
+    text = np.random.default_rng(5).integers(0, 2000, 4000)
+    words = text.tolist()
+    assert induced.suffix_array(text, 2000).tolist() == sorted(range(len(words)), key=lambda i: words[i:])
